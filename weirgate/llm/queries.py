@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard
+from . import jaccard, mixing, quality, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,5 +17,23 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"), k=4, threshold="0.85")
 
 
-QUERIES = {"op1_ngram_jaccard": op1_ngram_jaccard}
-ORACLE_SQL: dict[str, str] = {}
+def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes."""
+    placed = sharding.place(table(spark, sf_dir, "documents"), 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to their sources' target weights."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and the line-first verdict for all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.measures(docs).drop("text", "clean_text")
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_virtual_slots, op4_mix_sources, op5_quality_rules)}
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.ORACLE}
