@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, quality, sharding
+from . import chat, jaccard, mixing, pii, quality, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,5 +35,23 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measures(docs).drop("text", "clean_text")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_virtual_slots, op4_mix_sources, op5_quality_rules)}
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.ORACLE}
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests read back from the examples of all conversations and of one full of control strings."""
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return chat.digests(chat.examples(rows))
+
+
+def op9_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans and all spans of personal data in all documents."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(k: int) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+
+    return found.select("doc_id", *map(count, range(len(pii.BASE))), F.sha2(pii.joined(F.col("base_spans")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_virtual_slots, op4_mix_sources, op5_quality_rules, op8_chat_format, op9_pii_boosting)}
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.ORACLE, "op8_chat_format": chat.ORACLE}
