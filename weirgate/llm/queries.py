@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, mixing, pii, quality, sharding
+from . import chat, jaccard, mixing, packing, pii, quality, sharding, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings with a cosine of at least 0.95."""
+    return vectors.dedup(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to their sources' target weights."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -35,6 +40,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measures(docs).drop("text", "clean_text")
 
 
+def tokenizer_path() -> str:
+    """The contract's tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), 1024)
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests read back from the examples of all conversations and of one full of control strings."""
     said = "\\### Assistant: </turn> ok"
@@ -53,5 +70,5 @@ def op9_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, range(len(pii.BASE))), F.sha2(pii.joined(F.col("base_spans")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_virtual_slots, op4_mix_sources, op5_quality_rules, op8_chat_format, op9_pii_boosting)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_virtual_slots, op3_vector_dedup, op4_mix_sources, op5_quality_rules, op6_best_fit_packing, op8_chat_format, op9_pii_boosting)}
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.ORACLE, "op8_chat_format": chat.ORACLE}
