@@ -134,8 +134,23 @@ def hashed_words(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.n
     return word_hashes(data, starts, ends, lower), at
 
 
+def slices(column: pa.Array, most: int = 1 << 22) -> list[pa.Array]:
+    """The column in stretches of at most so many bytes, or one row."""
+    column = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).cast(pa.large_string())
+    offsets, out, a = text_buffer(column)[1], [], 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + most, "right")) - 1)
+        out.append(column.slice(a, b - a))
+        a = b
+    return out
+
+
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
     """Each text's sorted distinct k-word shingle hashes; with fewer words, the whole sequence as one."""
+    return [s for part in slices(column) for s in _shingle_sets(part, k)]
+
+
+def _shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
     h, at = hashed_words(column)
     rolled = np.zeros(max(0, len(h) - k + 1), np.uint64)
     for j in range(k):

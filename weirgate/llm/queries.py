@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, mixing, packing, pii, quality, sharding, vectors
+from . import chat, jaccard, language, mixing, ngram_lm, packing, pii, quality, sharding, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,12 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), 1024)
 
 
+def op7_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a bigram trie of those whose id's checksum is no multiple of 10."""
+    docs = table(spark, sf_dir, "documents")
+    return ngram_lm.score(docs.select("doc_id", "text", (language.remainder(docs["doc_id"], 10) == 0).alias("held_out")))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests read back from the examples of all conversations and of one full of control strings."""
     said = "\\### Assistant: </turn> ok"
@@ -70,5 +76,28 @@ def op9_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, range(len(pii.BASE))), F.sha2(pii.joined(F.col("base_spans")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_virtual_slots, op3_vector_dedup, op4_mix_sources, op5_quality_rules, op6_best_fit_packing, op8_chat_format, op9_pii_boosting)}
+def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those whose id's checksum is no multiple of 5."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.remainder(docs["doc_id"], 5) == 0
+    model = language.learn(docs.where(~held_out).select("lang", "text"))
+    out = language.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (language.remainder(out["doc_id"], 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard,
+        op2_virtual_slots,
+        op3_vector_dedup,
+        op4_mix_sources,
+        op5_quality_rules,
+        op6_best_fit_packing,
+        op7_ngram_trie,
+        op8_chat_format,
+        op9_pii_boosting,
+        op10_language_mixture,
+    )
+}
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.ORACLE, "op8_chat_format": chat.ORACLE}
