@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents by 4-word shingles with a Jaccard similarity of at least 0.85."""
-    return jaccard.link_components(table(spark, sf_dir, "documents"), k=4, threshold="0.85")
+    return jaccard.link_components(table(spark, sf_dir, "documents"), k=4, threshold="0.85").select("doc_id", "n_shingles", "component_id")
 
 
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
