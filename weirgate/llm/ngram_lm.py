@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import hashed_words, materialize, mix64, only, slices
 
 #: Words in a block; bytes of text for each shard.
-BLOCK_WORDS, SHARD_BYTES = 2_000_000, 16 << 20
+BLOCK_WORDS, SHARD_BYTES = 1_000_000, 4 << 20
 #: Unigram addition and discount.
 ADD, DISCOUNT = 0.1, 0.75
 BEGIN, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
@@ -197,10 +197,12 @@ def _ask(bits: int):
 def _answer(table: pa.Table) -> pa.Table:
     """Builds a shard's trie from what all blocks sent, and looks up what each asked for."""
     rows = []
-    for r in table.to_pylist():
-        wide = np.zeros((len(r["symbols"]) // (SYMBOL_BITS // 8), 8), np.uint8)
-        wide[:, : SYMBOL_BITS // 8] = np.frombuffer(r["symbols"], np.uint8).reshape(len(wide), -1)
-        rows.append((r["block"], np.frombuffer(r["words"], np.uint64), np.frombuffer(r["counts"], np.int64), np.frombuffer(r["children"], np.uint32), wide.view("<u8").ravel(), np.frombuffer(r["pairs"], np.uint32)))
+    for batch in table.to_batches():
+        for block, *own in zip(batch.column("block").to_pylist(), *(batch.column(c) for c in ("words", "counts", "children", "symbols", "pairs"))):
+            w, c, children, symbols, p = (np.frombuffer(x.as_buffer(), k) for x, k in zip(own, (np.uint64, np.int64, np.uint32, np.uint8, np.uint32)))
+            wide = np.zeros((len(p), 8), np.uint8)
+            wide[:, : SYMBOL_BITS // 8] = symbols.reshape(len(p), -1)
+            rows.append((block, w, c, children, wide.view("<u8").ravel(), p))
     words = np.unique(np.concatenate([r[1] for r in rows]))
     counts, keys, pairs = np.zeros(len(words), np.int64), [], []
     for _, w, c, children, symbol, p in rows:
