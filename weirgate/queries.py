@@ -55,7 +55,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 # --- DuckDB building blocks, each named after what it stands for -------------------------------
 
 MONEY = "DECIMAL(18,2)"
-_TAIL = "CAST(updated_at AS TIMESTAMP) AS source_updated_at, batch_id AS source_batch_id"
+_TAIL = "CAST(CAST(updated_at AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS source_updated_at, batch_id AS source_batch_id"
 _STAMP = f"'{RUN}' AS pipeline_run_id, CAST({BATCH} AS BIGINT) AS pipeline_batch_id"
 _KEY = "CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS order_date_key"
 BLOCKS = {
@@ -395,7 +395,7 @@ def source_batch_cutoff(spark, d):
     return checks.beyond_batch({e: make(spark, d) for e, make in conform.SILVER.items()}, _KEYS, BATCH)
 
 
-@query(_beyond("updated_at", "source_updated_at", f"CAST(updated_at AS TIMESTAMP) >= TIMESTAMP '{UNTIL}'"))
+@query(_beyond("updated_at", "source_updated_at", f"CAST(CAST(updated_at AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) >= TIMESTAMP '{UNTIL}'"))
 def source_timestamp_cutoff(spark, d):
     return checks.beyond_time({e: make(spark, d) for e, make in conform.SILVER.items()}, _KEYS, f"{UNTIL}Z")
 

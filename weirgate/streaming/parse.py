@@ -6,6 +6,7 @@ code by the first rule that it breaks, or becomes an event or a tombstone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,21 +76,33 @@ def entity_of(topic: Column) -> Column:
     return F.when(name.isin(*ENTITIES), name)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is written and computed once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def decoded_decimal(text: Column, scale: Column) -> Column:
     """Plain decimal text of a base64 big-endian two's-complement number; null if it is none."""
-    raw = F.when(text.rlike(r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$") & (F.length(text) > 0), F.try_to_binary(text, F.lit("base64")))
-    digits = F.hex(raw)
-    n = F.octet_length(raw)
+    base64 = r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
     wide = lambda x: x.cast("decimal(38,0)")
-    byte = lambda i: F.conv(F.substring(digits, i * 2 - 1, F.lit(2)), 16, 10)
-    whole = F.aggregate(F.sequence(F.lit(1), n), wide(F.lit(0)), lambda acc, i: wide(acc * 256 + wide(byte(i))))
-    power = F.aggregate(F.sequence(F.lit(1), n), wide(F.lit(1)), lambda acc, i: wide(acc * 256))
-    number = F.when(n.between(1, 15), F.when(byte(F.lit(1)).cast("int") >= 128, wide(whole - power)).otherwise(whole))
-    plain = F.abs(number).cast("string")
-    padded = F.when(F.length(plain) <= scale, F.lpad(plain, (scale + 1).cast("int"), "0")).otherwise(plain)
-    head = F.substring(padded, F.lit(1), (F.length(padded) - scale).cast("int"))
-    tail = F.substring(padded, (F.length(padded) - scale + 1).cast("int"), scale.cast("int"))
-    return F.concat(F.when(number < 0, F.lit("-")).otherwise(F.lit("")), head, F.when(scale > 0, F.concat(F.lit("."), tail)).otherwise(F.lit("")))
+
+    def number(digits: Column) -> Column:
+        n = (F.length(digits) / 2).cast("int")
+        byte = lambda i: F.conv(F.substring(digits, i * 2 - 1, F.lit(2)), 16, 10)
+        # The first byte counts down from zero if its high bit is set; the others add to 256 times what is before.
+        first = byte(F.lit(1)).cast("int")
+        start = wide(F.when(first >= 128, first - 256).otherwise(first))
+        rest = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
+        return F.when(n.between(1, 15), F.aggregate(rest, start, lambda acc, i: wide(acc * 256 + wide(byte(i)))))
+
+    def shown(v: Column) -> Column:
+        x, s = v["x"], v["s"]
+        point = lambda p: F.concat(F.substring(p, F.lit(1), F.length(p) - s), F.when(s > 0, F.concat(F.lit("."), F.substring(p, F.length(p) - s + 1, s))).otherwise(F.lit("")))
+        padded = let(F.abs(x).cast("string"), lambda p: F.when(F.length(p) <= s, F.lpad(p, s + 1, "0")).otherwise(p))
+        return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), let(padded, point))
+
+    raw = let(text, lambda t: F.when(t.rlike(base64) & (F.length(t) > 0), F.hex(F.try_to_binary(t, F.lit("base64")))))
+    return let(F.struct(let(raw, number).alias("x"), scale.cast("int").alias("s")), shown)
 
 
 def declared_scale(document: Column, image: str, field: str) -> Column:
@@ -101,13 +114,14 @@ def declared_scale(document: Column, image: str, field: str) -> Column:
     return natural(at(own, "parameters", "scale"))
 
 
-def field_text(document: Column, image: Column, name: str, field: str, kind_: str) -> Column:
-    """A decimal field's text with binary forms decoded; other kinds are not looked at."""
-    value = at(image, field)
-    if kind_ != "decimal":
-        return text_of(value)
-    text = text_of(value)
-    return F.coalesce(decoded_decimal(text, declared_scale(document, name, field)), text)
+def decimal_texts(entity: Entity, document: Column, image: Column, name: str) -> Column:
+    """A struct of an image's decimal fields as text, binary forms decoded; null without such fields."""
+    found = []
+    for field, kind_ in entity.fields.items():
+        if kind_ == "decimal":
+            text = text_of(at(image, field))
+            found.append(F.coalesce(decoded_decimal(text, declared_scale(document, name, field)), text).alias(field))
+    return F.struct(*found) if found else F.lit(None)
 
 
 def field_ok(entity: Entity, field: str, value: Column, text: Column) -> Column:
@@ -123,13 +137,13 @@ def field_ok(entity: Entity, field: str, value: Column, text: Column) -> Column:
     return F.coalesce(kinds[entity.fields[field]], F.lit(False))
 
 
-def row_valid(entity: Entity, document: Column, image: Column, name: str) -> Column:
+def row_valid(entity: Entity, image: Column, decimals: Column) -> Column:
     """Every required field is there, and every known field that is not null has its kind."""
     tests = []
     for field, kind_ in entity.fields.items():
         value = at(image, field)
         empty = value.isNull() | (kind(value) == "VOID")
-        ok = field_ok(entity, field, value, field_text(document, image, name, field, kind_))
+        ok = field_ok(entity, field, value, decimals[field] if kind_ == "decimal" else text_of(value))
         tests.append((~empty & ok) if field in entity.required else (empty | ok))
     return reduce(lambda a, b: a & b, tests)
 
@@ -156,15 +170,14 @@ def by_entity(name: Column, make) -> Column:
     return out
 
 
-def typed_row_json(entity: Entity, document: Column, image: Column, name: str) -> Column:
+def row_json(entity: Entity, image: Column, decimals: Column) -> Column:
     """An image's declared fields as JSON text, decimals decoded, ready for from_json."""
     out = []
     for field, kind_ in entity.fields.items():
         value = at(image, field)
-        text = field_text(document, image, name, field, kind_)
         shown = F.when(kind(value) == "VOID", F.lit(None).cast("string"))
-        if kind_ == "decimal":
-            shown = shown.when(text.isNotNull(), F.to_json(F.array(text)).substr(F.lit(2), F.length(F.to_json(F.array(text))) - 2))
+        if kind_ == "decimal":  # digits, signs and points need no escaping; other text is no valid row's
+            shown = shown.when(decimals[field].isNotNull() & ~decimals[field].rlike(r'["\\\\]'), F.concat(F.lit('"'), decimals[field], F.lit('"')))
         out.append(F.concat(F.lit(f'"{field}":'), shown.otherwise(F.to_json(value))))
     return F.concat(F.lit("{"), F.concat_ws(",", *out), F.lit("}"))
 
@@ -182,13 +195,15 @@ def classified(records: DataFrame, arrived: Column | None = None) -> DataFrame:
     r = r.withColumns({"_before": object_of(at(env, "before")), "_after": object_of(at(env, "after")), "_source": object_of(at(env, "source")), "_tx": object_of(at(env, "transaction"))})
     r = r.withColumn("_row", F.when(F.col("_op") == "d", F.col("_before")).otherwise(F.col("_after")))
     row, doc = F.col("_row"), F.col("_doc")
-
-    def of_image(make) -> Column:
-        return by_entity(F.col("entity"), lambda e: F.when(F.col("_op") == "d", make(e, "before")).otherwise(make(e, "after")))
-
+    # Decimals are decoded once for each image, in a step of their own, so that no expression repeats it.
+    priced = {e.name: e for e in ENTITIES.values() if "decimal" in e.fields.values()}
+    for image in ("before", "after"):
+        decoded = reduce(lambda acc, e: acc.when(F.col("entity") == e.name, decimal_texts(e, doc, F.col(f"_{image}"), image)), list(priced.values())[1:], F.when(F.col("entity") == next(iter(priced)), decimal_texts(next(iter(priced.values())), doc, F.col(f"_{image}"), image)))
+        r = r.withColumn(f"_{image}_decimals", decoded)
+    r = r.withColumn("_decimals", F.when(F.col("_op") == "d", F.col("_before_decimals")).otherwise(F.col("_after_decimals")))
     r = r.withColumns(
         {
-            "_valid": of_image(lambda e, name: row_valid(e, doc, row, name)),
+            "_valid": by_entity(F.col("entity"), lambda e: row_valid(e, row, F.col("_decimals"))),
             "_row_key": by_entity(F.col("entity"), lambda e: key_json(e, row)),
             "_message_key": by_entity(F.col("entity"), lambda e: key_json(e, F.col("_keydoc"))),
             "source_lsn": natural(at(F.col("_source"), "lsn")),
@@ -215,7 +230,7 @@ def classified(records: DataFrame, arrived: Column | None = None) -> DataFrame:
     day = F.coalesce(F.to_date(F.timestamp_millis(ts)), F.to_date(F.col("timestamp")), F.to_date(arrived if arrived is not None else F.lit("1970-01-01").cast("timestamp")))
 
     def image_json(name: str) -> Column:
-        return by_entity(F.col("entity"), lambda e: F.when(F.col(f"_{name}").isNotNull(), typed_row_json(e, doc, F.col(f"_{name}"), name)))
+        return F.when(F.col(f"_{name}").isNotNull(), by_entity(F.col("entity"), lambda e: row_json(e, F.col(f"_{name}"), F.col(f"_{name}_decimals"))))
 
     live = ~tombstone
     r = r.withColumns(
@@ -233,7 +248,9 @@ def classified(records: DataFrame, arrived: Column | None = None) -> DataFrame:
         }
     )
     r = r.withColumn("row_json", F.when(F.col("_op") == "d", F.col("before_json")).otherwise(F.col("after_json")))
-    return r.select("reason_code", *EVENT_COLUMNS)
+    # One row from one row: a filter on the reason is not copied into every step above, which would repeat all of them.
+    done = r.select(F.explode(F.array(F.struct("reason_code", *EVENT_COLUMNS))).alias("r"))
+    return done.select("r.*")
 
 
 def events(parsed_records: DataFrame) -> DataFrame:
