@@ -25,12 +25,12 @@ _ACCEPTED = {
 }
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _seventeen(value: pd.Series) -> pd.Series:
     def shown(v: float) -> str | None:
         if v is None or pd.isna(v):

@@ -30,9 +30,15 @@ from .streaming.bronze import ingest_all
 LOG = logging.getLogger("weirgate")
 
 #: Columns of event tables as stored; event_date, run_id and stream_batch are partitions.
-EVENTS = T.StructType.fromDDL(
-    "entity string, operation string, key_json string, before_json string, after_json string, row_json string, batch_id long, source_lsn long, source_timestamp_ms long, transaction_order long, "
-    "topic string, partition int, offset long, kafka_timestamp timestamp, raw_payload string, is_tombstone boolean, run_id string, stream_batch string, event_date date"
+_KINDS = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(), "date": T.DateType()}
+EVENTS = T.StructType(
+    [
+        T.StructField(name, _KINDS[kind])
+        for name, kind in map(str.split, (
+            "entity string, operation string, key_json string, before_json string, after_json string, row_json string, batch_id long, source_lsn long, source_timestamp_ms long, transaction_order long, "
+            "topic string, partition int, offset long, kafka_timestamp timestamp, raw_payload string, is_tombstone boolean, run_id string, stream_batch string, event_date date"
+        ).split(", "))
+    ]
 )
 #: A mart's key and the column that its increments go by.
 MARTS = {"dim_customer": (("customer_id",), "source_batch_id"), "dim_product": (("product_id",), "source_batch_id"), "dim_date": (("date_key",), None), "fact_order": (("order_id",), "source_batch_id"), "fact_order_item": (("order_id", "line_number"), "source_batch_id")}
