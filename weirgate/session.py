@@ -14,7 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
