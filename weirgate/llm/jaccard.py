@@ -360,6 +360,28 @@ def _tiles(t: Fraction):
     return run
 
 
+def _frequent(signed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The order's last shingles, sorted, and how often they repeat: at most ORDER_SHINGLES, as many as whole levels allow.
+
+    A level is an eighth of an octave of counts; how many shingles each has is a few hundred rows, and only the shingles
+    of the highest levels that fit together go to the driver.
+    """
+    counted = signed.select("shingles").mapInArrow(_repeats, "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
+    counted = materialize(counted.withColumn("level", F.floor(F.log2("times") * 8).cast("int")), "jaccard-frequent")
+    held, least = 0, None
+    for row in counted.groupBy("level").count().orderBy(F.desc("level")).collect():
+        held += row["count"]
+        if held > ORDER_SHINGLES:
+            break
+        least = row["level"]
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    top = counted.where(F.col("level") >= least).select("token", "times").toPandas()
+    tokens = top["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], top["times"].to_numpy(np.int64)[order]
+
+
 def link_components(docs: DataFrame, k: int = 5, threshold: str = "0.8") -> DataFrame:
     """(doc_id, n_shingles, component_id, text_hash, group_key) for every row of docs (doc_id, text).
 
@@ -385,11 +407,8 @@ def link_components(docs: DataFrame, k: int = 5, threshold: str = "0.8") -> Data
     wanted = materialize(sets.join(passing, "key").select("doc_id").distinct(), "jaccard-passing")
     found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
     signed = materialize(found.mapInArrow(_signatures(k), "doc long, n long, bits binary, shingles binary"), "jaccard-sets")
-    # A bounded list: the order's last shingles.
-    top = signed.select("shingles").mapInArrow(_repeats, "token long, times long").groupBy("token").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "token").limit(ORDER_SHINGLES).toPandas()
-    tokens = top["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(tokens)
-    frequent = spark.sparkContext.broadcast((tokens[order], top["times"].to_numpy(np.int64)[order]))
+    tokens, times = _frequent(signed)
+    frequent = spark.sparkContext.broadcast((tokens, times))
     shards = max(least, int(signed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * float(1 - t) // SHARD_TOKENS) + 1)
     blobs = signed.select("doc", "shingles").mapInArrow(_tokens(t, frequent, shards), "shard int, token binary, doc binary, n binary, central binary")
     shared = blobs.repartition(shards, "shard").mapInArrow(_shared(log_base), "token long, doc long, n long, band int, central float")
