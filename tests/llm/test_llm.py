@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -84,8 +85,6 @@ def test_bitmaps_bound_overlap_from_above():
         x, y = (np.unique(r.integers(0, 300, r.integers(1, 200), dtype=np.uint64) << np.uint64(20)) for _ in range(2))
         bx, by = (np.frombuffer(jaccard._bitmap(v), np.uint64)[None] for v in (x, y))
         both = len(np.intersect1d(x, y))
-        from fractions import Fraction
-
         t = Fraction(both, len(x) + len(y) - both)
         assert jaccard._bounded(np.array([len(x)]), np.array([len(y)]), bx, by, t)[0]
 
@@ -380,3 +379,30 @@ def test_pipeline(spark, tmp_path):
     assert hidden[52].endswith("Mail [EMAIL] now.") and hidden[1] == texts[1]
     assert set(Counter(d.doc_id for d in out["mixture"].collect()).values()) <= {1, 2}
     assert out["packing"].count() > 0 and pipeline.ORACLE_SQL is None
+
+
+@pytest.mark.parametrize("k,t", [(4, "0.85"), (5, "0.8"), (2, "0.5")])
+def test_jaccard_of_small_sets_of_unlike_sizes(spark, k, t):
+    """Sets whose sizes differ by a step of the prefix length: each pair links only with its other half."""
+    rows = []
+    for n in range(1, 48):
+        for cut in (1, 2, 3, 5, 8):
+            if n > cut:
+                words = [f"{n}x{cut}y{i}" for i in range(n + k - 1)]
+                rows += [(len(rows), " ".join(words), "en", "s", 0), (len(rows) + 1, " ".join(words[: len(words) - cut]), "en", "s", 0)]
+    got = jaccard.link_components(frame(spark, rows), k, t).select("doc_id", "n_shingles", "component_id").collect()
+    assert Counter(map(tuple, got)) == Counter(brute_components(rows, k, int(float(t) * 100), 100))
+
+
+@pytest.mark.parametrize("t", ["0.5", "0.6", "0.8", "0.85", "0.95", "1"])
+def test_partners_must_share_what_is_asked(t):
+    """For all sizes that can link, the least number of common shingles looked at is no less than asked for."""
+    t = Fraction(t)
+    sizes = np.arange(1, 301)
+    asked, outside = jaccard._must_share(sizes, t), np.array([jaccard._prefix(int(n), t) - 1 for n in sizes])
+    looked = np.minimum(sizes, jaccard.LOOK * outside + 1)
+    for a in sizes:
+        for b in range(math.ceil(t * int(a)), min(300, math.floor(int(a) / t)) + 1):
+            common = math.ceil(t * (int(a) + b) / (1 + t))
+            mine, other = looked[a - 1] - (a - common), looked[b - 1] - (b - common)
+            assert min(mine, other if looked[b - 1] < b else mine) >= asked[a - 1], (a, b)

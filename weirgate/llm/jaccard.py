@@ -4,7 +4,7 @@ Documents become sets of hashed word shingles; equal sets are one from the start
 shingles, two sets of similarity t or more have at most d = n - ceil(t * n) shingles of either outside the other.
 
 1. Which sets can have a partner at all: of its first r * d + 1 shingles by hash (r = LOOK), a set with a partner must
-   share all but d with some other set. Shingles travel as 32-bit arrays, one row for each partition and shard; only
+   share all but d, or fewer where a smaller partner is looked at less, with some other set. Shingles travel as 32-bit arrays, one row for each partition and shard; only
    sets that pass are looked at further, and only their texts are moved.
 2. Tiles: two sets of similarity t share one of their first d + 1 shingles in any order common to all, so a tile is one
    such shingle and one band of set sizes. The order puts shingles that repeat inside a partition last (the most frequent
@@ -89,6 +89,20 @@ def _looked_at(n: int, t: Fraction) -> int:
     return min(n, LOOK * (int(_prefix(n, t)) - 1) + 1)
 
 
+def _must_share(n: np.ndarray, t: Fraction) -> np.ndarray:
+    """How many of the shingles looked at a set of n has in common with those looked at of any partner, at least.
+
+    Let a partner have c shingles, and the two sets o in common. Where the partner is looked at whole or no less far up
+    the order, all but n - o are common; else all but c - o of the partner's, with o >= t * (n + c) / (1 + t). The second
+    is linear in c but for rounding, which its floor allows for, so the least and the largest c bound it; and as each
+    side looks at more than may lie outside the other, one is common anyway.
+    """
+    outside, s = _prefix(n, t) - 1, float(t)
+    bounds = [LOOK * ((1 - s) * c - 1) + 1 - (c - s * n) / (1 + s) for c in (s * n, n / s)]
+    lower = np.floor(np.minimum(*bounds) - 1e-6).astype(np.int64)
+    return np.maximum(np.minimum(np.minimum(n, LOOK * outside + 1) - outside, lower), 1)
+
+
 def _looks(k: int, t: Fraction, shards: int):
     """One row for each shard: the first shingles of the partition's different sets, by set."""
 
@@ -167,8 +181,7 @@ def _passing(t: Fraction):
             keys, shares, n = (np.concatenate(x) for x in zip(*rows))
             key, first, at = np.unique(keys, return_index=True, return_inverse=True)
             total, n = np.bincount(at, weights=shares), n[first].astype(np.int64)
-            outside = _prefix(n, t) - 1
-            key = key[total >= np.minimum(n, LOOK * outside + 1) - outside]
+            key = key[total >= _must_share(n, t)]
             for a in range(0, len(key), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(key[a : a + 100_000])], ["key"])
 
