@@ -24,7 +24,7 @@ MOST_LOST = 50
 #: Fixed phrases, lower case.
 PHRASES = "all rights reserved|cookie policy|accept cookies|privacy policy|terms of service|terms of use|enable javascript|click here|sign up for|subscribe to our|skip to content|back to top|log in to|share this"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MARK_END = r"""[.!?\x{2026}:;]["')\x{BB}]*([\x20\x09-\x0D]|$)"""
+MARK_END = r"""[.!?\x{2026}:;]["')\x{BB}]*([\x20\x09-\x0D]|\z)"""
 MARK_RUN = r"[!?#*$%&=~_]{2,}"
 SEPARATOR = r"[|\x{BB}\x{203A}\x{2022}]"
 
@@ -109,7 +109,7 @@ def measures(docs: DataFrame) -> DataFrame:
     return out.select(*docs.columns, *names)
 
 
-#: The same for DuckDB, over documents.
+#: The same for DuckDB, over documents with different ids.
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents
