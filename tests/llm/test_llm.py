@@ -325,6 +325,23 @@ def base_spans(t):
     return out
 
 
+def test_pii_secret_around_a_base_span(spark):
+    token = "9c7d498a8f76dc87564274036988f668b67d153d"
+    texts = [f'token = "{token}" ok', f"{token}\n", f'api_key: "{token}" to a@b.com [at] example [dot] org', "card 4242 4242 4242 4242 x", "mail john [at] b.com@c.org now"]
+    df = pii.find(frame(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]))
+    got = {g.doc_id: g for g in df.select("doc_id", "text", pii.joined(F.col("base_spans")).alias("base"), pii.joined(F.col("spans")).alias("all"), pii.redact(F.col("text"), F.col("spans")).alias("out")).collect()}
+    for g in got.values():
+        base, found = g.base.split(","), [s.split(":") for s in g.all.split(",")]
+        assert base == base_spans(g.text) and set(base) <= set(g.all.split(","))
+        assert all(a[0] != b[0] or int(a[2]) <= int(b[1]) for a, b in zip(found, found[1:]))
+    for i in range(3):
+        at = texts[i].index(token)
+        assert f"card:{at + 14}:{at + 28}" in got[i].base and f"secret:{at}:{at + 40}" in got[i].all
+    assert [got[i].out for i in (0, 1, 3)] == ['token = "[SECRET]" ok', "[SECRET]\n", "card [CARD] x"]
+    assert got[2].out.startswith('api_key: "[SECRET]" to [EMAIL]') and "example" not in got[2].out
+    assert got[4].out == "mail [EMAIL][EMAIL] now"
+
+
 def test_pii(spark):
     r = random.Random(2)
     texts = ["".join(r.choice(["a", "b.", "@", "1", "12", "4242 4242 4242 4242", "-", " ", "+1 (555) 010-9999", "10.0.0.1", "é", "😀", "_", "..", "a@b.co", "\n"]) for _ in range(25)) for _ in range(60)]

@@ -4,7 +4,8 @@ High-recall patterns propose spans that may overlap; boosted trees score each fr
 a threshold for each kind, set on held-out rows to a precision of at least PRECISION, selects redactions. The trees are
 fitted on the driver over a fixed set of labelled rows made from templates (ROWS of them, a bound that does not grow
 with the data) through the same expressions that score documents, and are applied as CASE expressions. Spans that the
-base rules find are always kept; the method adds others.
+base rules find are always kept; the method adds others, also such as reach beyond a base span (a secret around a run of
+digits that passes for a card).
 
 Spans count code points, end exclusive. Patterns use possessive repeats and start at the edge of a run, so that long runs
 cost linear time and no stack; what they find is the leftmost non-overlapping matches of the plain patterns.
@@ -295,10 +296,17 @@ def find(docs: DataFrame) -> DataFrame:
     base = [based(k, *x) for k, x in enumerate(BASE.items())]
     limit = F.array(*map(F.lit, thresholds))
 
+    def beyond(own: Column, c: Column) -> Column:
+        """The candidate without what base spans of its own kind hold of its ends; no generator makes one around such a span."""
+        same = F.filter(own, lambda b: b["kind"] == c["kind"])
+        left = F.array_max(F.transform(F.filter(same, lambda b: (b["start"] <= c["start"]) & (c["start"] < b["end"])), lambda b: b["end"]))
+        right = F.array_min(F.transform(F.filter(same, lambda b: (b["start"] < c["end"]) & (c["end"] <= b["end"])), lambda b: b["start"]))
+        return F.struct(c["kind"].alias("kind"), F.coalesce(left, c["start"]).alias("start"), F.coalesce(right, c["end"]).alias("end"))
+
     def more(own: Column) -> Column:
-        free = F.filter(candidates(text), lambda c: ~F.exists(own, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+        free = F.filter(candidates(text), lambda c: ~F.exists(own, lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])))
         chosen = F.filter(free, lambda c: score(model, c["f"]) >= F.get(limit, c["kind"]))
-        added = F.transform(chosen, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
+        added = F.transform(chosen, lambda c: beyond(own, c))
         return F.struct(own.alias("base"), F.array_sort(F.concat(own, added)).alias("all"))
 
     found = let(F.array_sort(F.concat(*base)).cast(_SPANS), more)
