@@ -166,6 +166,25 @@ def test_vectors_with_odd_rows(spark):
     assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i, _ in odd)
 
 
+def test_vectors_of_several_lengths(spark):
+    r = np.random.default_rng(8)
+    parts, exact, at = [], {}, 0
+    for dim, n in ((16, 60), (8, 30), (3, 500), (1, 4)):
+        base = r.standard_normal((n // 2, dim))
+        x = np.vstack([base, base + 0.02 * r.standard_normal(base.shape), base[:1]])
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        link = unit @ unit.T >= 0.95
+        label = np.arange(len(x))
+        for _ in range(len(x)):
+            label = np.array([label[link[i]].min() for i in range(len(x))])
+        exact |= {at + i: (int(link[i].sum()) - 1, at + int(label[i])) for i in range(len(x))}
+        parts += [(at + i, [float(v) for v in row]) for i, row in enumerate(x)]
+        at += len(x)
+    odd = [(9000, []), (9001, [0.0] * 8), (9002, None), (9003, [float("nan")] * 3)]
+    got = {g.vec_id: (g.n_links, g.component_id) for g in vectors.dedup(spark.createDataFrame(parts + odd, "vec_id long, embedding array<double>")).collect()}
+    assert got == exact | {i: (0, i) for i, _ in odd}
+
+
 def test_codes_estimate_without_bias():
     r = np.random.default_rng(2)
     x = r.standard_normal((300, 64))

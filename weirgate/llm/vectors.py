@@ -9,13 +9,16 @@ is linked by its estimate.
 Which pairs are estimated at all: leaders, a bounded sample of the vectors thinned to be unlike one another, split the
 space. Each vector is at home with its nearest leader and visits every leader whose cosine is at most MARGIN below the
 nearest one's, so a pair is met once in each direction, at one's home when the other visits. A pair of cosine s differs
-in its leaders' cosines by about sqrt(2 - 2 * s) / sqrt(dim) times a normal variable, which MARGIN exceeds severalfold;
+in its leaders' cosines by about sqrt(2 - 2 * s) / sqrt(dim) times a normal variable, which MARGIN exceeds severalfold
+(short vectors have a wider margin, see margin());
 recall is measured against brute force in the tests. Vectors that are equal in every component are one with a count, and
 homes and visits of a leader are dealt in blocks of BLOCK, so that a frequent vector or a crowded leader is no single
 task's. Only counts and one row for each vector and block leave a block, never its pairs.
 
-Defined results: vectors that are null, zero, of another length than most, or that hold null or non-finite components
-link with nothing; repeated rows of an id count as vectors of their own and share the id's row values; an empty table gives
+Each length is routed and compared by itself, with leaders, a rotation and components of its own, one after another.
+
+Defined results: vectors of different lengths don't link; vectors that are null, zero, or that hold null or non-finite
+components link with nothing; repeated rows of an id count as vectors of their own and share the id's row values; an empty table gives
 an empty table; other columns, labels among them, are ignored.
 """
 
@@ -78,12 +81,19 @@ def _norms(x: np.ndarray) -> np.ndarray:
     return np.where(np.isfinite(n) & (n > 0), n, np.nan)
 
 
+def margin(dim: int, threshold: float) -> float:
+    """MARGIN, or four of the standard deviations above where vectors are short, up to where no pair can differ more."""
+    apart = np.sqrt(max(2 - 2 * threshold, 0))
+    return float(max(MARGIN, min(2 * apart, 4 * apart / np.sqrt(dim))))
+
+
 def _homes(leaders, turn, threshold: float):
     """(leader, home, id, times, code, factor, vector) rows: one at home, others where the vector visits."""
 
     def run(batches):
         lead, matrix = leaders.value, turn.value
         dim = matrix.shape[0]
+        room = margin(dim, threshold)
         for batch in batches:
             x = _matrix(batch.column(1), dim)
             x = x / np.abs(x).max(1, keepdims=True)  # so that no square overflows
@@ -95,7 +105,7 @@ def _homes(leaders, turn, threshold: float):
             codes, factor, _ = encode(unit, matrix)
             near = unit @ lead.T
             best = near.argmax(1)
-            rows, where = np.nonzero(near >= near.max(1, keepdims=True) - MARGIN)
+            rows, where = np.nonzero(near >= near.max(1, keepdims=True) - room)
             home = where == best[rows]
             ids, times = (batch.column(i).to_numpy() for i in (0, 2))
             yield pa.RecordBatch.from_arrays(
@@ -166,27 +176,15 @@ def choose_leaders(sample: np.ndarray, many: int) -> np.ndarray:
     return chosen
 
 
-def dedup(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every row of embeddings (vec_id, embedding)."""
-    spark = embeddings.sparkSession
-    context = spark.sparkContext
-    rows = only(embeddings, "vec_id", "embedding").select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-    sizes = rows.where("embedding is not null").groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    plain = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    if not sizes or not sizes[0].n:
-        return plain
-    dim = sizes[0].n
-    finite = ~F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    usable = F.coalesce((F.size("embedding") == dim) & finite & F.exists("embedding", lambda v: v != 0) & F.col("vec_id").isNotNull(), F.lit(False))
-    fine = rows.where(usable)
+def _of_length(fine: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """(vec_id, n_links, component_id) for finite, non-zero vectors of one length."""
+    context = fine.sparkSession.sparkContext
     # Equal vectors are one, known by its least id.
     grouped = fine.groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("times"))
     grouped = materialize(grouped.select("id", "embedding", "times"), "vectors")
     total = grouped.count()
     many = int(min(LEADERS, max(1, total // PER_LEADER)))
     sample = grouped.orderBy(F.xxhash64("id"), "id").limit(int(min(SAMPLE, 4 * many))).select("embedding").toPandas()["embedding"]
-    if not len(sample):
-        return plain
     sample = np.array([np.asarray(v, float) for v in sample])
     leaders = context.broadcast(choose_leaders(sample / _norms(sample)[:, None], many))
     turn = context.broadcast(rotation(dim))
@@ -207,6 +205,16 @@ def dedup(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame:
     # Back to all rows: a vector's copies are its links too.
     known = grouped.join(links, "id", "left").join(comps.withColumnRenamed("node", "id"), "id", "left")
     known = known.select("embedding", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    good = fine.join(known, "embedding").select("vec_id", "n_links", "component_id")
-    rest = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return good.union(rest).select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return fine.join(known, "embedding").select("vec_id", "n_links", "component_id")
+
+
+def dedup(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) for every row of embeddings (vec_id, embedding)."""
+    rows = only(embeddings, "vec_id", "embedding").select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
+    finite = ~F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    usable = F.coalesce(finite & F.exists("embedding", lambda v: v != 0) & F.col("vec_id").isNotNull(), F.lit(False))
+    sizes = rows.where(usable).groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").collect()  # a row for each length
+    out = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for r in sizes:
+        out = out.union(_of_length(rows.where(usable & (F.size("embedding") == r.n)), r.n, threshold))
+    return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
