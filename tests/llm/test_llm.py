@@ -131,6 +131,17 @@ def test_sharding(spark):
     assert Counter(placed["text_crc32"]) == Counter(zlib.crc32((t or "").encode()) for _, t, *_ in rows)
 
 
+def test_sharding_of_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PIECE", 7, raising=False)  # several pieces
+    rows = [(5, f"text {i:03}", None, None, 0) for i in range(300)] + [(None, "same text", None, None, 0)] * 300 + [(1000 + i, f"text {i:03}", None, None, 0) for i in range(300)]
+    placed = sharding.place(frame(spark, rows), 4).toPandas()
+    assert Counter(zip(placed["doc_id"].fillna(-1), placed["text_crc32"])) == Counter((-1 if d is None else d, zlib.crc32(t.encode())) for d, t, *_ in rows)
+    sizes = placed.groupby("shard")["size"].sum()
+    assert sizes.max() - sizes.min() <= 20 and placed["vslot"].nunique() > 700
+    for _, own in placed.groupby("shard"):
+        assert sorted(own["slot"]) == list(range(len(own)))
+
+
 def test_slot_maps(spark, tmp_path):
     r = random.Random(1)
     sizes = {s: r.randint(1, 100) for s in range(256)}

@@ -1,12 +1,14 @@
 """Sharding by fixed virtual slots.
 
-A record's id (and its text's checksum where the id is null) hashes into one of SLOTS virtual slots, for good. Bytes are
+A record's id, its text's checksum and, of rows that are equal in both, its number among them hash into one of SLOTS
+virtual slots, for good: a record stays in its slot while its text is the same, and rows that share an id (or have none)
+are spread like any others. Bytes are
 summed for each slot before any shuffle, and a slot map, a small versioned table, says which shard holds which slot.
 Sizes are kept near equal by editing the map: the slots with the most bytes are placed first, each into the emptiest
 shard; later edits (rebalance, grow) move single slots and make a new version, so that most rows stay where they are.
 
-Defined results: null text has size 1 and checksum 0; null ids are dealt by their text; repeated rows are rows of their
-own, next to each other; an empty table gives an empty table; other columns are ignored.
+Defined results: null text has size 1 and checksum 0; null ids are dealt by their text and number; repeated rows are rows
+of their own; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from .common import materialize, only
 
 #: Virtual slots; fixed for the life of a data set.
 SLOTS = 8192
+#: Equal rows that are numbered in one piece.
+PIECE = 1024
 
 
 @dataclass(frozen=True)
@@ -105,9 +109,16 @@ def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """(doc_id, size, text_crc32, vslot); only these leave the scan, the texts stay."""
     text = F.col("text").cast("string")
     crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
-    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("no id"), crc)).otherwise(F.xxhash64("doc_id"))
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
-    return only(docs, "doc_id", "text").select("doc_id", size.alias("size"), crc.cast("long").alias("text_crc32"), F.pmod(key, F.lit(slots)).cast("int").alias("vslot"))
+    rows = only(docs, "doc_id", "text").select("doc_id", size.alias("size"), crc.cast("long").alias("text_crc32"))
+    # Equal rows meet as a count, which is dealt out again in pieces, so that a frequent row is no single task's.
+    counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
+    pieces = counted.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / PIECE))))
+    pieces = pieces.repartition("doc_id", "text_crc32", "piece")
+    first = F.col("piece") * PIECE
+    numbered = pieces.withColumn("number", F.explode(F.sequence(first, F.least(first + PIECE, F.col("n")) - 1)))
+    key = F.xxhash64("doc_id", "text_crc32", "number")
+    return numbered.select("doc_id", "size", "text_crc32", F.pmod(key, F.lit(slots)).cast("int").alias("vslot"))
 
 
 def place(docs: DataFrame, shards: int = 16, slot_map: SlotMap | None = None) -> DataFrame:
