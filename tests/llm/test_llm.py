@@ -158,6 +158,22 @@ def test_slot_maps(spark, tmp_path):
     assert sharding.SlotMap.load(spark, str(tmp_path), 1) == first and sharding.SlotMap.load(spark, str(tmp_path), 2) == again
 
 
+def test_place_keeps_its_slot_map(spark, tmp_path):
+    r, maps = random.Random(4), str(tmp_path / "maps")
+    rows = [(i, "x" * r.randint(1, 90), None, None, 0) for i in range(400)]
+    run = lambda rows, n: {g.doc_id: g for g in sharding.place(frame(spark, rows), n, maps=maps).collect()}
+    first, again = run(rows, 4), run(rows, 4)
+    assert {g.map_version for g in first.values()} == {1} and first == again
+    more = run(rows + [(1000 + i, "y" * 80, None, None, 0) for i in range(100)], 4)
+    assert sum(more[i].shard != first[i].shard for i in first) < 60
+    version = more[0].map_version
+    assert sharding.SlotMap.latest(spark, maps).version == version and sharding.SlotMap.load(spark, maps, 1).shards == 4
+    grown = run(rows, 5)
+    assert grown[0].map_version > version and {g.shard for g in grown.values()} == set(range(5))
+    with pytest.raises(ValueError):
+        run(rows, 3)
+
+
 def test_vectors_with_odd_rows(spark):
     r = np.random.default_rng(5)
     base = r.standard_normal((40, 16))

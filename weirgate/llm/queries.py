@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, jaccard, language, mixing, ngram_lm, packing, pii, quality, sharding, vectors
+from .common import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +22,9 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes."""
-    placed = sharding.place(table(spark, sf_dir, "documents"), 16)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark)
+    maps = f"{shared}/slot-maps/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"  # a map table for each data set
+    placed = sharding.place(table(spark, sf_dir, "documents"), 16, maps=maps)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -14,7 +14,7 @@ of their own; an empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +50,14 @@ class SlotMap:
         rows.sort(key=lambda r: r.vslot)
         return SlotMap(version, rows[0].shards, tuple(r.shard for r in rows))
 
+    @staticmethod
+    def latest(spark: SparkSession, path: str) -> SlotMap | None:
+        """The last version that was written whole, if there is any."""
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+        done = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+        versions = [int(d.getPath().getParent().getName().split("=")[1]) for d in done or ()]
+        return SlotMap.load(spark, path, max(versions)) if versions else None
+
 
 def first_map(slot_bytes: dict[int, int], shards: int, slots: int = SLOTS) -> SlotMap:
     """Version 1: the largest slots first, each into the shard with the fewest bytes so far."""
@@ -121,17 +129,37 @@ def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     return numbered.select("doc_id", "size", "text_crc32", F.pmod(key, F.lit(slots)).cast("int").alias("vslot"))
 
 
-def place(docs: DataFrame, shards: int = 16, slot_map: SlotMap | None = None) -> DataFrame:
+def kept_map(spark: SparkSession, path: str, slot_bytes: dict[int, int], shards: int) -> SlotMap:
+    """The map table's last version, edited where shards were added or bytes drifted apart; every new version is saved."""
+    found = SlotMap.latest(spark, path)
+    if found is None:
+        # Edited at once as later runs would, so that they leave it alone while the bytes are the same.
+        found = replace(rebalance(first_map(slot_bytes, shards), slot_bytes), version=1)
+        found.save(spark, path)
+    if shards < found.shards:
+        raise ValueError(f"the slot map at {path} has {found.shards} shards; slots can't move into {shards}")
+    while found.shards < shards:
+        found = grow(found, slot_bytes)
+        found.save(spark, path)
+    edited = rebalance(found, slot_bytes)
+    if edited.owner != found.owner:
+        edited.save(spark, path)
+        found = edited
+    return found
+
+
+def place(docs: DataFrame, shards: int = 16, slot_map: SlotMap | None = None, maps: str | None = None) -> DataFrame:
     """Every row's shard, and its place in that shard, gapless from 0.
 
-    Without slot_map, a first version is made from the bytes of the slots. A place is the number of rows in the shard's
+    maps is the data set's map table: its last version is loaded and edited, or its first one made and saved. Without it
+    and slot_map, a map is planned for this table alone, from the bytes of the slots, and not kept. A place is the number of rows in the shard's
     earlier slots plus the row's number in its own slot, so no task numbers a whole shard.
     """
     spark = docs.sparkSession
     rows = materialize(slotted(docs), "shard-rows")
     stats = rows.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()  # at most SLOTS rows
     slot_bytes, counts = {r.vslot: r.bytes for r in stats}, {r.vslot: r.n for r in stats}
-    slot_map = slot_map or first_map(slot_bytes, shards)
+    slot_map = slot_map or (kept_map(spark, maps, slot_bytes, shards) if maps else first_map(slot_bytes, shards))
     start, firsts = [0] * slot_map.shards, []
     for slot, shard in enumerate(slot_map.owner):
         firsts.append((slot, shard, start[shard]))
