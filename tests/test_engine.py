@@ -204,6 +204,20 @@ def test_reports_are_compared():
     assert compare_reports({"x": one, "y": three})["failed_targets"] == ["y"] and not compare_reports({"x": one})["agreed"]
 
 
+def test_reports_tell_groups_beyond_those_shown(spark):
+    rows = [(i, f"g{i:03}", i) for i in range(150)]
+    source, none = (lambda e: sales(spark, rows)), (lambda e: sales(spark, []).select("id"))
+    made = {t: validate(a_run(), source, lambda e, k=k: sales(spark, [*rows[:k], (k, f"g{k:03}", -1), *rows[k + 1 :]]), none, [SALES], "sums") for t, k in (("x", 140), ("y", 141))}
+    by_group = {t: next(c for c in r.checks if c.name == "aggregate:by_group") for t, r in made.items()}
+    for t, k in (("x", 140), ("y", 141)):
+        assert f'"S:g{k}": "M:{k}"' in by_group[t].expected and f'"S:g{k}": "M:-1"' in by_group[t].actual and "150 groups in all" in by_group[t].actual
+    assert "aggregate:by_group" in [d["name"] for d in compare_reports(made)["disagreements"]]
+    left = validate(a_run(), source, source, lambda e: sales(spark, rows[:120]).select("id"), [SALES], "sums").failures
+    assert [c.name for c in left] == ["deleted_absent"] and "120 groups in all" in left[0].actual
+    one, two = (Report("r", 1, (Check("e", "a", True, x, "1"),)) for x in ("1", "2"))
+    assert [d["name"] for d in compare_reports({"x": one, "y": two})["disagreements"]] == ["a"]
+
+
 def test_gates(spark, tmp_path):
     run, registry = a_run(), publish.Registry(str(tmp_path / "control"))
     spark.range(2).withColumn("pipeline_batch_id", F.lit(3)).write.parquet(str(tmp_path / "t"))

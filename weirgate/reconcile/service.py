@@ -63,14 +63,25 @@ class Report:
         return path
 
 
-def _shown(groups: DataFrame) -> str:
-    rows = groups.orderBy("group").limit(SHOWN + 1).collect()
+def _whole(groups: DataFrame) -> str:
+    """How many (group, value) rows there are, and a hash over all of them, in any order."""
+    h = [F.xxhash64(F.lit(k), F.col("group"), F.col("value").isNull(), F.col("value")).cast("decimal(38,0)") for k in (1, 2)]
+    r = groups.agg(F.count(F.lit(1)).alias("n"), *(F.coalesce(F.sum(x), F.lit(0)).alias(f"h{k}") for k, x in enumerate(h))).first()
+    return f" ... {r.n} groups in all, hash {r.h0}:{r.h1}"
+
+
+def _shown(groups: DataFrame, first: list[str]) -> str:
+    """The groups named by first, then others by name, up to SHOWN; what is left out is in the count and the hash."""
+    rank = F.when(F.col("group").isin(first), 0).otherwise(1) if first else F.lit(1)
+    rows = groups.orderBy(rank, "group").limit(SHOWN + 1).collect()
     text = json.dumps({r["group"]: r["value"] for r in rows[:SHOWN]}, ensure_ascii=False)
-    return text + " ..." * (len(rows) > SHOWN)
+    return text + (_whole(groups) if len(rows) > SHOWN else "")
 
 
 def _groups(entity: str, name: str, expected: DataFrame, actual: DataFrame) -> Check:
-    return Check(entity, name, differences(expected, actual).isEmpty(), _shown(expected), _shown(actual))
+    """Groups that differ are shown first."""
+    differ = [r["group"] for r in differences(expected, actual).orderBy("group").limit(SHOWN).collect()]
+    return Check(entity, name, not differ, _shown(expected, differ), _shown(actual, differ))
 
 
 def compare(rule: Rule, source: DataFrame, target: DataFrame, deleted: DataFrame | None, checksums: str = "exact") -> list[Check]:
@@ -89,8 +100,10 @@ def compare(rule: Rule, source: DataFrame, target: DataFrame, deleted: DataFrame
         if rule.deletes:
             if deleted is None:
                 raise LookupError("deletes are declared but the source can't name them")
-            left = [r["group"] for r in still_present(target, deleted, rule).orderBy("group").limit(SHOWN).collect()]
-            out.append(Check(rule.entity, "deleted_absent", not left, "[]", json.dumps(left)))
+            present = still_present(target, deleted, rule)
+            left = [r["group"] for r in present.orderBy("group").limit(SHOWN + 1).collect()]
+            more = _whole(present.withColumn("value", F.lit(""))) if len(left) > SHOWN else ""
+            out.append(Check(rule.entity, "deleted_absent", not left, "[]", json.dumps(left[:SHOWN]) + more))
         a, b = (CHECKSUMS[checksums](df, rule).first().asDict() for df in (source, target))
         out += [Check(rule.entity, f"checksum:{c}", a[c] == b[c], a[c], b[c]) for c in rule.columns]
         for spec in rule.aggregates:
@@ -125,8 +138,8 @@ def compare_reports(reports: Mapping[str, Report]) -> dict:
         absent = sorted(t for t, c in found.items() if c is None)
         if absent:
             missing.append({"entity": entity, "name": name, "missing_on": absent})
-        elif len({(c.passed, c.actual) for c in found.values()}) > 1:
-            disagreements.append({"entity": entity, "name": name, "actual": {t: c.actual for t, c in found.items()}})
+        elif len({(c.passed, c.expected, c.actual) for c in found.values()}) > 1:
+            disagreements.append({"entity": entity, "name": name, "expected": {t: c.expected for t, c in found.items()}, "actual": {t: c.actual for t, c in found.items()}})
     failed = sorted(t for t, r in reports.items() if not r.passed)
     return {"agreed": len(reports) > 1 and not (missing or disagreements or failed), "checks": len(names), "missing": missing, "disagreements": disagreements, "failed_targets": failed}
 
