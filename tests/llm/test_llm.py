@@ -317,30 +317,75 @@ def test_elias_fano():
         assert (ngram_lm.EliasFano.build(v).get(np.arange(n)) == v).all()
 
 
-def test_language_model(spark, monkeypatch):
+def brute_scores(rows, held, order):
+    """(n_tokens, n_known, total, base, score) of each row, by the interpolated model without tries or bytes."""
+    tokens = [["<", "<", *(t or "").encode().lower().split(), ">"] for _, t, *_ in rows]
+    counts = [Counter() for _ in range(order + 1)]
+    for own, out in zip(tokens, held):
+        if not out:
+            for i in range(2, len(own)):
+                for n in range(1, order + 1):
+                    counts[n][tuple(own[i - n + 1 : i + 1])] += 1
+    total, kinds = sum(counts[1].values()), len(counts[1])
+    context, after = Counter(), Counter()
+    for n in range(2, order + 1):
+        for gram, c in counts[n].items():
+            context[gram[:-1]] += c
+            after[gram[:-1]] += 1
+
+    def p(own, i, n):
+        if n == 1:
+            return (counts[1][own[i],] + 0.1) / (total + 0.1 * (kinds + 1))
+        gram = tuple(own[i - n + 1 : i + 1])
+        if not context[gram[:-1]]:
+            return p(own, i, n - 1)
+        return (max(counts[n][gram] - 0.75, 0) + 0.75 * after[gram[:-1]] * p(own, i, n - 1)) / context[gram[:-1]]
+
+    return [(len(own) - 2, sum(counts[1][w,] > 0 for w in own[2:]), total, sum(math.log10(p(own, i, 1)) for i in range(2, len(own))), sum(math.log10(p(own, i, order)) for i in range(2, len(own)))) for own in tokens]
+
+
+def check_scores(got, rows, held, order):
+    key = lambda d, base: (d is None, d or 0, round(base, 6))
+    expected = sorted(zip([r[0] for r in rows], held, brute_scores(rows, held, order)), key=lambda x: key(x[0], x[2][3]))
+    assert len(got) == len(expected)
+    for r, (d, out, (n, known, total, base, score)) in zip(sorted(got, key=lambda r: key(r.doc_id, r.base_score)), expected):
+        assert (r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (d, out, n, known, total)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9, abs_tol=1e-9) and abs(r.score - score) <= 0.02 * n
+
+
+@pytest.mark.parametrize("order,wide", [(2, 10**9), (3, 10**9), (3, 2), (2, 2)])
+def test_language_model(spark, monkeypatch, order, wide):
     monkeypatch.setattr(ngram_lm, "BLOCK_WORDS", 300)  # several blocks
-    rows = [r for r in corpus() if r[0] is not None]
-    df = frame(spark, rows).withColumn("held_out", F.col("doc_id") % 5 == 0)
-    got = ngram_lm.score(df).toPandas()
-    tokens = {d: [*(t or "").encode().lower().split(), 0] for d, t, *_ in rows}
-    one, two = Counter(), Counter()
-    for d, *_ in rows:
-        if d % 5:
-            one.update(tokens[d])
-            two.update(zip([1, *tokens[d]], tokens[d]))
-    total, kinds, context, after = sum(one.values()), len(one), Counter(), Counter()
-    for (a, _), c in two.items():
-        context[a] += c
-        after[a] += 1
-    assert Counter(got.doc_id) == Counter(r[0] for r in rows)
-    for r in got.itertuples():
-        base = score = 0.0
-        for a, b in zip([1, *tokens[r.doc_id]], tokens[r.doc_id]):
-            p = (one[b] + 0.1) / (total + 0.1 * (kinds + 1))
-            base += math.log10(p)
-            score += math.log10((max(two[a, b] - 0.75, 0) / context[a] if context[a] else 0) + (0.75 * after[a] / context[a] if context[a] else 1) * p)
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens[r.doc_id]), sum(one[x] > 0 for x in tokens[r.doc_id]), total)
-        assert math.isclose(r.base_score, base, rel_tol=1e-9) and abs(r.score - score) <= 0.05 * r.n_tokens
+    monkeypatch.setattr(ngram_lm, "WIDE", wide)  # 2: most contexts are split
+    monkeypatch.setattr(ngram_lm, "SPLIT", wide)
+    rows = [(None if i % 17 == 0 else d, *rest) for i, (d, *rest) in enumerate(corpus())]
+    df = frame(spark, rows).withColumn("held_out", F.crc32(F.coalesce("text", F.lit("x")).cast("binary")) % 5 == 0)
+    held = [zlib.crc32(("x" if t is None else t).encode()) % 5 == 0 for _, t, *_ in rows]
+    check_scores(ngram_lm.score(df, order).collect(), rows, held, order)
+
+
+@pytest.mark.parametrize("texts", [["apple pear quince"], [None], ["a b c", "d e", "f"], ["x " * 5], ["", " "]])
+def test_language_model_of_few_documents(spark, texts):
+    """Many more shards than words."""
+    rows, was = [(i, t, None, None, 0) for i, t in enumerate(texts)], spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        for held in ([False] * len(rows), [True] * len(rows)):
+            check_scores(ngram_lm.score(frame(spark, rows).withColumn("held_out", F.lit(held[0]))).collect(), rows, held, 3)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
+def test_language_model_of_repeated_ids(spark, tmp_path):
+    """Blocks of equal ids and sizes keep their own words, whatever partition they come from."""
+    rows = [(1, "apple pear quince", None, None, 0), (1, "kiwi fig lime", None, None, 0), (None, "one two", None, None, 0), (None, "three four", None, None, 0)]
+    for i, r in enumerate(rows):
+        frame(spark, [r]).coalesce(1).write.parquet(str(tmp_path / f"docs/part={i}"))
+    df = spark.read.parquet(str(tmp_path / "docs")).withColumn("held_out", F.lit(None).cast("boolean"))
+    check_scores(ngram_lm.score(df, keep=str(tmp_path / "model")).collect(), rows, [False] * 4, 3)
+    tries = [ngram_lm.Trie.loads(r.model) for r in spark.read.parquet(str(tmp_path / "model")).collect()]
+    assert sum(int(t.counts.sum()) for t in tries) == sum(len(t.split()) + 1 for _, t, *_ in rows)
+    assert sum(len(t.probabilities2) - 1 for t in tries if len(t.probabilities2)) > 0
 
 
 def test_chat_round_trip(spark):

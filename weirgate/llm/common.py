@@ -60,7 +60,7 @@ _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _MIX = [int(x) | 1 for x in _rng.integers(1, MASK, 64, dtype=np.uint64)]
-_CHUNK = 1 << 21
+_CHUNK = 1 << 19
 _powers: list[np.ndarray] = []
 
 
