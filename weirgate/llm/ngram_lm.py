@@ -449,8 +449,8 @@ def _answer(keep: bool):
                 word = trie.word(nodes)
                 two = trie.find(2, np.repeat(word, kids2), symbols2)
                 three = trie.find(3, np.repeat(two, kids3), symbols3)
-                values = [got(v, at, other).astype(np.uint8).tobytes() for v, at, other in ((trie.weights2, word, WHOLE), (trie.probabilities2, two, 0), (trie.weights3, two, WHOLE), (trie.probabilities3, three, 0))]
-                out.append((block, int(nodes[0] >> np.uint64(1)), _planes(got(trie.counts, word, 0), 6), *values, None, None, None, None))
+                values = [_zip(got(v, at, other).astype(np.uint8).tobytes()) for v, at, other in ((trie.weights2, word, WHOLE), (trie.probabilities2, two, 0), (trie.weights3, two, WHOLE), (trie.probabilities3, three, 0))]
+                out.append((block, int(nodes[0] >> np.uint64(1)), _zip(_planes(got(trie.counts, word, 0), 6)), *values, None, None, None, None))
         finally:
             shutil.rmtree(folder, ignore_errors=True)
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), _KINDS)], list(ANSWERS))
@@ -467,8 +467,8 @@ def _score(total: int, different: int, shared, order: int):
             return _EMPTY
         heavy, factor, rest = shared.value
         answers = sorted(right.to_pylist(), key=lambda r: r["place"])
-        counts = np.concatenate([_from_planes(r["counts"], 6) for r in answers])
-        weights2, pairs, weights3, triples = (VALUES[np.concatenate([np.frombuffer(r[c], np.uint8) for r in answers])] for c in ("weights2", "pairs", "weights3", "triples"))
+        counts = np.concatenate([_from_planes(_unzip(r["counts"]), 6) for r in answers])
+        weights2, pairs, weights3, triples = (VALUES[np.concatenate([np.frombuffer(_unzip(r[c]), np.uint8) for r in answers])] for c in ("weights2", "pairs", "weights3", "triples"))
         (row,) = zip(*(left.combine_chunks().column(c) for c in ("ids", "held", "sizes", "words", "at")))
         block = _read(*row[1:], heavy, order).arrange()
         if len(counts) != len(block.nodes) or len(pairs) != len(block.counts2) or len(triples) != len(block.counts3):
