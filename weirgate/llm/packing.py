@@ -5,15 +5,18 @@ first piece is the short one. The driver plans best fit, longest first, over cou
 all pieces of one length go together into the groups of equally filled sequences that they fit best. The plan says which
 ranks of a length take which places, and a piece finds its place by its rank within its length. Ranks are made in
 BUCKETS parts of each length, so that a frequent length is no single task's, and the plan and the parts' offsets are
-arrays of bounded size.
+arrays of bounded size. Pieces of full length, most of a large corpus of long texts, fill a sequence each and need no
+rank: their sequences have negative numbers.
 
-Defined results: null text counts as empty and has the closing id alone; repeated rows are packed each, in an order that
-ties cannot change; an empty table gives an empty table; other columns are ignored.
+Defined results: null text counts as empty and has the closing id alone; null ids stay null; repeated rows are packed
+each, in an order that ties cannot change; whole texts are read however long, and white space of LONG_SPACE characters or
+more without a break goes to the tokenizer itself; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 
 import numpy as np
@@ -27,6 +30,11 @@ LENGTH = 1024
 CLOSING = 2
 #: Parts of each length in which ranks are made.
 BUCKETS = 64
+#: White space that the fast encoder's pattern may fail on, as it goes back over it step by step.
+LONG_SPACE = 10_000
+
+
+_long_space = re.compile(rf"\s{{{LONG_SPACE}}}")
 
 
 class Encoder:
@@ -64,7 +72,7 @@ class Encoder:
         return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is None or any(s in text for s in self.special):
+        if self.fast is None or any(s in text for s in self.special) or _long_space.search(text):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4")
         return np.array(self.fast.encode_ordinary(text), "<u4")
 
@@ -170,7 +178,8 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     texts = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     pieces = texts.mapInArrow(_pieces(path, length), "doc_id long, piece int, start long, length long, ids_crc32 long")
     bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(BUCKETS)).cast("int")
-    pieces = materialize(pieces.withColumn("bucket", bucket), "pack-pieces")
+    pieces = materialize(pieces.withColumn("bucket", bucket).withColumn("serial", F.monotonically_increasing_id()), "pack-pieces")
+    full, pieces = pieces.where(F.col("length") == length), pieces.where(F.col("length") < length)
     found = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n")).collect()  # at most length * BUCKETS rows
     parts = np.zeros((length + 1, BUCKETS), np.int64)
     for r in found:
@@ -181,4 +190,6 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     shared = spark.sparkContext.broadcast((base, *runs.T))
     rank = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32", "start"))
     ranked = pieces.withColumn("rank", rank.cast("long"))
-    return ranked.mapInArrow(_assign(shared), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    placed = ranked.mapInArrow(_assign(shared), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    alone = full.select("doc_id", "piece", "start", "length", "ids_crc32", (-1 - F.col("serial")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return placed.union(alone)
