@@ -310,6 +310,23 @@ def test_encoder_is_the_tokenizer():
         assert enc.ids(t).tolist() == enc.slow.encode(t, add_special_tokens=False).ids
 
 
+def test_encoder_of_long_runs():
+    enc = packing.encoder(queries.tokenizer_path())
+    for t in ("\n" * 1_000_000, " " * 1_000_000, "x" + " \t" * 500_000 + "y", "ab" * 500_000, "7" * 1_000_000, "a " * 9_999 + " " * 9_999 + "b"):
+        assert enc.ids(t).tolist() == enc.slow.encode(t, add_special_tokens=False).ids
+
+
+def test_packing_of_long_texts(spark):
+    """White space without a break, full pieces, repeated and null ids, texts that fill a sequence but for the closing id."""
+    rows = [(1, "\n" * 400_000, None, None, 0), (1, "\n" * 400_000, None, None, 0), (None, "word " * 3000, None, None, 0), (None, None, None, None, 0), (4, "word " * 1022 + "word", None, None, 0)]
+    got = packing.pack(frame(spark, rows), queries.tokenizer_path(), 1024).toPandas()
+    enc = packing.encoder(queries.tokenizer_path())
+    expected = Counter((-1 if d is None else d, j, a, n) for d, t, *_ in rows for j, (a, n) in enumerate(packing.cut(len(enc.ids(t or "")) + 1)))
+    assert Counter(zip(got.doc_id.fillna(-1), got.piece, got.start, got.length)) == expected
+    for _, own in got.sort_values("offset").groupby("sequence_id"):
+        assert list(own["offset"]) == [0, *own["length"].cumsum()[:-1]] and own["length"].sum() <= 1024
+
+
 def test_elias_fano():
     r = np.random.default_rng(3)
     for n, top in ((1, 1), (5, 3), (1000, 50), (1000, 10**9)):
@@ -448,6 +465,72 @@ def test_pii(spark):
     assert secret.s.startswith("secret:") and secret.out == 'key token = "[SECRET]"'
 
 
+def brute_spans(t, model, thresholds):
+    """All spans, from the generators' matches, features, trees, thresholds and the rule of overlaps, one by one."""
+    import regex
+
+    base = [(pii.KINDS.index(k), int(a), int(b)) for k, a, b in (x.split(":") for x in base_spans(t))]
+    out = list(base)
+    for kind, pattern, _ in pii.PROPOSE:
+        k = pii.KINDS.index(kind)
+        for m in regex.finditer(pattern, t):
+            v, digits = m.group(), re.sub("[^0-9]", "", m.group())
+            if kind == "card" and not 13 <= len(digits) <= 19 or kind == "secret" and not (len(digits) >= 3 and re.search("[A-Za-z]", v)):
+                continue
+            if any(a <= m.start() and m.end() <= b for _, a, b in base):
+                continue
+            before = t[max(0, m.start() - 32) : m.start()]
+            before = "".join(c.lower() if c.isascii() else c for c in before)
+            share = [len(re.findall(p, v)) / len(v) for p in ("[A-Za-z]", "[A-Z]", "[a-z]", "[^0-9A-Za-z]", "[0-9a-fA-F]")]
+            f = [float(kind == x) for x in (*pii.KINDS[:1], *pii.KINDS[2:])] + [len(v), len(digits), *share]
+            f += [float(12 <= len(digits) <= 19 and luhn(digits)), len(re.findall("[0-9][A-Za-z]|[A-Za-z][0-9]", v))]
+            f += [float(bool(re.search(re.sub(r"\\x\{(..)\}", r"\\x\1", p), before))) for p in pii.WORDS.values()]
+            if pii.predict(model, np.array([f]))[0] < thresholds[k]:
+                continue
+            a, b = m.span()
+            same = [x for x in base if x[0] == k]
+            a = max([e for _, s, e in same if s <= m.start() < e], default=a)
+            b = min([s for _, s, e in same if s < m.end() <= e], default=b)
+            out.append((k, a, b))
+    return sorted(out)
+
+
+def test_pii_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(pii, "PIECE", 3)  # several pieces to an array and a text
+    r = random.Random(12)
+    hexed = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    some = lambda: r.choice([
+        "a.b@c.de", "x [at] y [dot] org", "x [at] b.com@c.org", "4242 4242 4242 4242", "4242424242424241", "call 555-010-9999", "order 555-010-9999", "123-45-6789", "ssn 123-45-6789",
+        f'token = "{hexed(40)}"', f"commit {hexed(40)}", hexed(20) + "4242424242424242" + hexed(8), "10.0.0.1", "+1 (555) 010-9999", " ", "\n", "é😀", "word", ", "])
+    texts = ["".join(some() + r.choice(["", " ", " "]) for _ in range(r.choice([1, 5, 30]))) for _ in range(80)] + [None, ""]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    found = pii.find(frame(spark, rows)).select("doc_id", "spans", pii.redact(F.col("text"), F.col("spans")).alias("out")).collect()
+    trained = pii.trained(spark)
+    assert len({k for g in found for k, *_ in g.spans}) >= 5
+    for g in found:
+        t = texts[g.doc_id]
+        assert [tuple(x) for x in g.spans] == brute_spans(t or "", *trained)
+        out, at = [], 0
+        for a, b, k in sorted((a, b, k) for k, a, b in g.spans):
+            if a >= at:
+                out += [t[at:a], f"[{pii.KINDS[k].upper()}]"]
+            at = max(at, b)
+        assert g.out == (t if t is None else "".join(out) + t[at:])
+
+
+def test_pii_of_many_matches(spark):
+    """A long list costs in proportion to its length."""
+    import time
+
+    n = 60_000
+    rows = [(1, "".join(f"u{i}@ex.org, 4242 4242 4242 4242, x [at] y [dot] org; " for i in range(n // 3)), None, None, 0)]
+    pii.trained(spark)
+    began = time.monotonic()
+    g = pii.find(frame(spark, rows)).select(F.size("base_spans").alias("n"), F.size("spans").alias("m"), F.length(pii.redact(F.col("text"), F.col("spans"))).alias("size")).first()
+    assert time.monotonic() - began < 60
+    assert g.n == n // 3 * 2 and g.m >= n // 3 * 2 and 0 < g.size < len(rows[0][1])
+
+
 def test_language_accuracy(spark):
     r = random.Random(6)
     syllables = {"aa": ["tha", "wer", "ing"], "bb": ["que", "aux", "elle"], "cc": ["sch", "ung", "keit"]}

@@ -10,14 +10,20 @@ digits that passes for a card).
 Spans count code points, end exclusive. Patterns use possessive repeats and start at the edge of a run, so that long runs
 cost linear time and no stack; what they find is the leftmost non-overlapping matches of the plain patterns.
 
-Defined results: null text counts as empty and has no spans; spans of one kind do not overlap, spans of different kinds
-may; repeated rows are judged alike; an empty table gives an empty table; other columns stay unless they have the names
+The cost of a text is in proportion to its length and n log n in its spans: positions and reaches are running sums and
+maxima, made in pieces of PIECE (see running), and cuts are taken from stretches of PIECE characters.
+
+Defined results: null text counts as empty and has no spans; whole texts are read however long; spans of one kind do not
+overlap, spans of different kinds may, and equal candidates of different kinds each count; a candidate's context ends
+BEFORE characters before it, generators of emails stop at the lengths that addresses have (64 and 63 characters, eight
+labels); repeated rows are judged alike; an empty table gives an empty table; other columns stay unless they have the names
 of results, which replace them.
 """
 
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -44,8 +50,10 @@ PROPOSE = (
     ("id", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]-[0-9]{2}-[0-9]"),
 )
 KINDS = ("email", "ip", "card", "phone", "secret", "id")
-#: Characters before a span that are context.
-BEFORE = 32
+#: Characters before a span that are context; how many matches before a span hold as many characters at least.
+BEFORE, MATCHES = 32, 4
+#: Elements of an array, or characters of a text, that are handled together.
+PIECE = 256
 WORDS = {
     "cue_secret": r"(?:token|secret|password|passwd|api[_ -]?key|credential|bearer|private key)[^\n]{0,6}$",
     "cue_money": r"(?:card|visa|mastercard|amex|credit|debit|carte|karte|tarjeta)[^\n]{0,12}$",
@@ -60,28 +68,68 @@ FEATURES = (*KINDS[:1], *KINDS[2:], "length", "digits", "letters", "upper", "low
 ROWS, ROUNDS, STEP, PRECISION = 4000, 40, 0.3, 0.97
 
 
+def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The array's running sums or maxima (step, associative), made for each PIECE elements and over the pieces."""
+    none = F.array().cast("array<bigint>")
+
+    def scan(xs: Column) -> Column:
+        return F.aggregate(xs, none, lambda acc, x: F.concat(acc, F.array(F.when(F.size(acc) > 0, step(F.element_at(acc, -1), x)).otherwise(x))))
+
+    def joined_up(parts: Column) -> Column:
+        def with_ends(ends: Column) -> Column:
+            return F.flatten(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.transform(p, lambda x: step(F.get(ends, i - 1), x)))))
+
+        return let(scan(F.transform(parts, lambda p: F.element_at(p, -1))), with_ends)
+
+    def split(xs: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(xs), F.lit(PIECE))
+        return F.when(F.size(xs) <= PIECE, scan(xs)).otherwise(let(F.transform(starts, lambda a: scan(F.slice(xs, a, F.lit(PIECE)))), joined_up))
+
+    return let(values.cast("array<bigint>"), split)
+
+
+_PLACES = "array<struct<start:bigint,end:bigint,value:string,before:string>>"
+
+
 def places(text: Column, pattern: str, guard: str) -> Column:
-    """Array of (start, end, value) of the pattern's matches, from the pieces between them."""
+    """Array of (start, end, value, before) of the pattern's matches, from the pieces between them; before is the context."""
 
     def of(found: Column) -> Column:
-        pieces = F.split(text, pattern, -1)
+        def cut(parts: Column) -> Column:
+            def context(i: Column) -> Column:
+                some = [F.coalesce(F.right(F.get(x, i - d), F.lit(BEFORE)), F.lit("")) for d in range(MATCHES, -1, -1) for x in (parts, found)][:-1]
+                return F.right(F.concat(*some), F.lit(BEFORE))
+
+            def placed(ends: Column) -> Column:
+                return F.transform(found, lambda v, i: F.struct((F.get(ends, i) - F.length(v)).alias("start"), F.get(ends, i).alias("end"), v.alias("value"), context(i).alias("before")))
 
-        def summed(parts: Column) -> Column:
-            zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint,value:string>>").alias("out"))
+            return let(running(F.transform(found, lambda v, i: F.length(v) + F.length(F.get(parts, i))), lambda s, x: s + x), placed)
 
-            def add(acc: Column, x: Column) -> Column:
-                start = acc["at"] + F.length(x["piece"])
-                end = start + F.length(x["value"])
-                one = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
-                return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        return let(F.split(text, pattern, -1), cut)
 
-            pairs = F.transform(found, lambda v, i: F.struct(F.get(parts, i).alias("piece"), v.alias("value")))
-            return F.aggregate(pairs, zero, add)["out"]
+    none = F.array().cast(_PLACES)
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.when(text.rlike(guard), let(matches, lambda found: F.when(F.size(found) > 0, of(found)).otherwise(none))).otherwise(none)
 
-        return let(pieces, summed)
 
-    none = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-    return F.when(text.rlike(guard), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), of)).otherwise(none)
+def reaches(spans: Column, points: Column) -> Column:
+    """For each point, of the spans that start at it or before: the last start and the furthest end; -1 if there is none."""
+    some = F.transform(spans, lambda s: F.struct(s["start"].alias("at"), F.lit(-1).alias("i"), s["start"].alias("start"), s["end"].alias("end")))
+    asked = F.transform(points, lambda p, i: F.struct(p.alias("at"), i.alias("i"), F.lit(-1).cast("bigint").alias("start"), F.lit(-1).cast("bigint").alias("end")))
+    larger = lambda s, x: F.greatest(s, x)
+
+    def merged(xs: Column) -> Column:
+        def told(starts: Column) -> Column:
+            def and_ends(ends: Column) -> Column:
+                every = F.transform(xs, lambda x, j: F.struct(x["i"].alias("i"), F.get(starts, j).alias("start"), F.get(ends, j).alias("end")))
+                return F.array_sort(F.filter(every, lambda x: x["i"] >= 0))
+
+            return let(running(F.transform(xs, lambda x: x["end"]), larger), and_ends)
+
+        return let(running(F.transform(xs, lambda x: x["start"]), larger), told)
+
+    kind = "array<struct<at:bigint,i:int,start:bigint,end:bigint>>"
+    return let(F.array_sort(F.concat(some.cast(kind), asked.cast(kind))), merged)
 
 
 def luhn(digits: Column) -> Column:
@@ -113,7 +161,7 @@ def _features(kind: Column, value: Column, before: Column) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
     before = F.translate(before, UPPER, LOWER)
     share = lambda pattern: F.regexp_count(value, F.lit(pattern)) / n
-    out = [(kind == k).cast("double") for k in (*KINDS[:1], *KINDS[2:])]
+    out = [(kind == KINDS.index(k)).cast("double") for k in (*KINDS[:1], *KINDS[2:])]
     out += [n, F.length(digits), share("[A-Za-z]"), share("[A-Z]"), share("[a-z]"), share("[^0-9A-Za-z]"), share("[0-9a-fA-F]")]
     out += [(F.length(digits).between(12, 19) & luhn(digits)).cast("double"), F.regexp_count(value, F.lit("[0-9][A-Za-z]|[A-Za-z][0-9]"))]
     out += [before.rlike(p).cast("double") for p in WORDS.values()]
@@ -128,14 +176,13 @@ def candidates(text: Column) -> Column:
             n = F.regexp_count(x["value"], F.lit("[0-9]"))
             return n.between(13, 19) if kind == "card" else (n >= 3) & x["value"].rlike("[A-Za-z]") if kind == "secret" else F.lit(True)
 
-        def scored(x: Column) -> Column:
-            start = F.greatest(x["start"] - BEFORE, F.lit(0))
-            before = F.substring(text, (start + 1).cast("int"), (x["start"] - start).cast("int"))
-            return F.struct(F.lit(KINDS.index(kind)).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _features(F.lit(kind), x["value"], before).alias("f"))
+        return F.transform(F.filter(places(text, pattern, guard), kept), lambda x: F.struct(F.lit(KINDS.index(kind)).alias("kind"), x.alias("x")))
 
-        return F.transform(F.filter(places(text, pattern, guard), kept), scored)
+    def scored(c: Column) -> Column:
+        x = c["x"]
+        return F.struct(c["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _features(c["kind"], x["value"], x["before"]).alias("f"))
 
-    return F.concat(*(proposed(*x) for x in PROPOSE))
+    return F.transform(F.concat(*(proposed(*x) for x in PROPOSE)), scored)
 
 
 # --- the model -------------------------------------------------------------------------------
@@ -234,18 +281,15 @@ def predict(model: tuple[float, list], x: np.ndarray) -> np.ndarray:
     return np.array([1 / (1 + np.exp(-(model[0] + sum(one(t, row) for t in model[1])))) for row in x])
 
 
-def score(model: tuple[float, list], f: Column) -> Column:
-    """The model's probability as an expression over the feature array."""
+def score(model: tuple[float, list], f: str) -> str:
+    """The model's probability as a SQL expression over the feature array f."""
 
-    def one(tree) -> Column:
+    def one(tree) -> str:
         if not isinstance(tree, tuple):
-            return F.lit(tree)
-        return F.when(F.get(f, F.lit(tree[0])) <= tree[1], one(tree[2])).otherwise(one(tree[3]))
+            return f"{tree!r}D"
+        return f"CASE WHEN get({f}, {tree[0]}) <= {tree[1]!r}D THEN {one(tree[2])} ELSE {one(tree[3])} END"
 
-    total = F.lit(model[0])
-    for tree in model[1]:
-        total = total + one(tree)
-    return 1 / (1 + F.exp(-total))
+    return f"1 / (1 + exp(-({' + '.join([one(model[0]), *map(one, model[1])])})))"
 
 
 @lru_cache(maxsize=4)
@@ -282,35 +326,54 @@ def trained(spark: SparkSession, seed: int = 7) -> tuple[tuple[float, list], tup
 _SPANS = "array<struct<kind:int,start:bigint,end:bigint>>"
 
 
+_OWN = ("base_spans", "spans", "_cands", "_held", "_chosen", *(f"_{x}{k}" for k in range(len(KINDS)) for x in ("mine", "left", "right")))
+
+
 def find(docs: DataFrame) -> DataFrame:
-    """docs with base_spans and spans: arrays of (kind, start, end), kind an index into KINDS, sorted."""
-    spark = docs.sparkSession
-    model, thresholds = trained(spark)
-    docs = docs.drop("base_spans", "spans", "_found")
+    """docs with base_spans and spans: arrays of (kind, start, end), kind an index into KINDS, sorted.
+
+    Columns of docs with the names in _OWN are replaced or dropped.
+    """
+    model, thresholds = trained(docs.sparkSession)
+    docs = docs.drop(*_OWN)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
 
     def based(k: int, kind: str, pattern: str) -> Column:
         ok = F.filter(places(text, pattern, MAY_HOLD[kind]), lambda x: valid(kind, x["value"]))
         return F.transform(ok, lambda x: F.struct(F.lit(k).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
 
-    base = [based(k, *x) for k, x in enumerate(BASE.items())]
-    limit = F.array(*map(F.lit, thresholds))
-
-    def beyond(own: Column, c: Column) -> Column:
-        """The candidate without what base spans of its own kind hold of its ends; no generator makes one around such a span."""
-        same = F.filter(own, lambda b: b["kind"] == c["kind"])
-        left = F.array_max(F.transform(F.filter(same, lambda b: (b["start"] <= c["start"]) & (c["start"] < b["end"])), lambda b: b["end"]))
-        right = F.array_min(F.transform(F.filter(same, lambda b: (b["start"] < c["end"]) & (c["end"] <= b["end"])), lambda b: b["start"]))
-        return F.struct(c["kind"].alias("kind"), F.coalesce(left, c["start"]).alias("start"), F.coalesce(right, c["end"]).alias("end"))
-
-    def more(own: Column) -> Column:
-        free = F.filter(candidates(text), lambda c: ~F.exists(own, lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])))
-        chosen = F.filter(free, lambda c: score(model, c["f"]) >= F.get(limit, c["kind"]))
-        added = F.transform(chosen, lambda c: beyond(own, c))
-        return F.struct(own.alias("base"), F.array_sort(F.concat(own, added)).alias("all"))
-
-    found = let(F.array_sort(F.concat(*base)).cast(_SPANS), more)
-    return docs.withColumn("_found", found).select(*docs.columns, F.col("_found.base").alias("base_spans"), F.col("_found.all").alias("spans"))
+    def asked(spans: Column, of: str, point: Callable[[Column], Column]) -> Column:
+        return F.when(F.size(of) > 0, reaches(spans, F.transform(of, point)))
+
+    # One column after another, as nested functions take the analyzer a step each.
+    out = docs.withColumn("base_spans", F.array_sort(F.concat(*(based(k, *x) for k, x in enumerate(BASE.items())))).cast(_SPANS))
+    out = out.withColumn("_cands", candidates(text))
+    # Only candidates that no base span holds whole are scored.
+    out = out.withColumn("_held", asked(F.col("base_spans"), "_cands", lambda c: c["start"]))
+    # Columns that a function's body would name are bound outside it, or the optimizer may compute them there for each element.
+    limit = ", ".join(f"{t!r}D" for t in thresholds)
+    wanted = f"filter(_cands, (c, i) -> get(held, i).end < c.end AND {score(model, 'c.f')} >= get(array({limit}), c.kind))"
+    chosen = f"transform({wanted}, c -> struct(c.kind, c.start, c.end))"
+    out = out.withColumn("_chosen", F.expr(f"element_at(transform(array(_held), held -> {chosen}), 1)").cast(_SPANS))
+    added = [F.filter("_chosen", lambda c: ~c["kind"].isin(*range(len(BASE))))]
+    for k in sorted({KINDS.index(x[0]) for x in PROPOSE} & set(range(len(BASE)))):
+        # Without what base spans of the candidate's kind hold of its ends; no generator makes one around such a span.
+        mine, left, right = f"_mine{k}", f"_left{k}", f"_right{k}"
+        same = F.filter("base_spans", lambda b: b["kind"] == k)
+        out = out.withColumn(mine, F.filter("_chosen", lambda c: c["kind"] == k))
+        out = out.withColumns({left: asked(same, mine, lambda c: c["start"]), right: asked(same, mine, lambda c: c["end"] - 1)})
+
+        def trimmed(reach: Column) -> Column:
+            def one(c: Column, i: Column) -> Column:
+                a, b = F.get(reach["a"], i), F.get(reach["b"], i)
+                start = F.when(a["end"] > c["start"], a["end"]).otherwise(c["start"])
+                return F.struct(c["kind"].alias("kind"), start.alias("start"), F.when(b["end"] >= c["end"], b["start"]).otherwise(c["end"]).alias("end"))
+
+            return F.transform(mine, one)
+
+        added.append(let(F.struct(F.col(left).alias("a"), F.col(right).alias("b")), trimmed).cast(_SPANS))
+    out = out.withColumn("spans", F.array_sort(F.concat("base_spans", *added)))
+    return out.select(*docs.columns, "base_spans", "spans")
 
 
 def joined(spans: Column) -> Column:
@@ -323,13 +386,25 @@ def redact(text: Column, spans: Column) -> Column:
     """text with each stretch of overlapping spans replaced by its first kind in brackets."""
     names = F.array(*map(F.lit, [k.upper() for k in KINDS]))
     by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        said = F.concat(acc["out"], gap, F.lit("["), F.get(names, s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], said).otherwise(acc["out"]).alias("out"))
 
-    end = F.aggregate(by_place, zero, step)
-    whole = let(end, lambda e: F.concat(e["out"], F.substring(text, (e["at"] + 1).cast("int"), F.length(text))))
+    def written(parts: Column, xs: Column, ends: Column) -> Column:
+        def cut(a: Column, b: Column) -> Column:
+            """Characters a to before b, from the parts of PIECE characters that hold them."""
+            i, j = (F.floor(x / PIECE).cast("int") for x in (a, b))
+            part = lambda x: F.coalesce(F.get(parts, x), F.lit(""))
+            at = lambda x, of: (x - of.cast("bigint") * PIECE).cast("int")
+            within = F.substring(part(i), at(a, i) + 1, (b - a).cast("int"))
+            across = F.concat(F.substring(part(i), at(a, i) + 1, F.lit(PIECE)), F.array_join(F.slice(parts, i + 2, F.greatest(j - i - 1, F.lit(0))), ""), F.substring(part(j), F.lit(1), at(b, j)))
+            return F.when(i == j, within).otherwise(across)
+
+        def one(s: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(ends, i - 1), F.lit(0).cast("bigint"))
+            said = F.concat(cut(before, s["start"]), F.lit("["), F.get(names, s["kind"]), F.lit("]"))
+            return F.when(s["start"] >= before, said).otherwise(F.lit(""))
+
+        return F.concat(F.array_join(F.transform(xs, one), ""), cut(F.element_at(ends, -1), F.length(text).cast("bigint")))
+
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}+"), F.lit(0))
+    ends = lambda xs: running(F.transform(xs, lambda x: x["end"]), lambda s, x: F.greatest(s, x))
+    whole = let(parts, lambda ps: let(by_place, lambda xs: let(ends(xs), lambda es: written(ps, xs, es))))
     return F.when(F.size(spans) > 0, whole).otherwise(text)
