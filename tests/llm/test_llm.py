@@ -249,6 +249,28 @@ def test_mixing(spark):
         assert abs(own["taken"].sum() - target[s]) <= own["size"].max()
 
 
+def test_mixing_takes_the_smallest_keys(spark):
+    """Which documents are taken, against keys sorted and summed one by one; and no range holds much of a source."""
+    r = random.Random(5)
+    rows = [(i, " ".join("AB12 CD34 17".split()[: r.randint(1, 3)] * r.randint(1, 9)), None, r.choice(["a", "a", "a", None]), 0) for i in range(3000)] + [(9000, "w " * 30_000, None, None, 0)]
+    docs = frame(spark, rows)
+    got = mixing.mix(docs, keep_text=False).toPandas()
+    assert "text" not in got.columns and Counter(got.taken) == Counter(mixing.mix(docs).toPandas().taken)
+    text, w = F.col("text"), F.greatest(mixing.quality(F.col("text")), F.lit(mixing.MIN_WEIGHT))
+    u = (F.pmod(F.xxhash64(F.lit("mix"), "doc_id", F.crc32(text.cast("binary"))), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    keys = docs.select("doc_id", "source", (-F.log(u) / w).alias("key"), mixing.n_words(text).alias("n")).toPandas()
+    taken = dict(zip(got.doc_id, zip(got.copies, got.target, got.source_size)))
+    for _, own in keys.groupby(keys.source.fillna("~")):
+        upto = 0
+        for d, n in own.sort_values(["key", "doc_id"])[["doc_id", "n"]].itertuples(index=False):
+            copies, target, size = taken[d]
+            whole = int(target // size)
+            assert copies == min(2, whole + (upto + n / 2 <= target - whole * size))
+            upto += n
+    ranges = Counter(np.floor(np.log2(keys.key[keys.source == "a"]) * mixing.STEPS))
+    assert max(ranges.values()) <= 12
+
+
 def test_quality(spark):
     rows = corpus() + [(800 + i, t, None, None, 0) for i, t in enumerate(["a b c a b c", "x\nx\n\ny\nx", "a a a a", "Fine line here, it is. " * 9 + "\nHome | About | Help\nHome | About | Help\nClick here now.", "#tag $5 <b> 100%\n"])]
     got = quality.measures(frame(spark, rows)).toPandas()

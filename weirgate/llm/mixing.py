@@ -5,12 +5,14 @@ is a sample without replacement in which a document of weight w has the exponent
 within the source and documents are taken from the smallest key on while the middle of their words is within the budget.
 u comes from a hash of the document, so reruns agree.
 
-The running sum is made in two levels, so that no task holds a source: keys fall into BUCKETS ranges by the
-exponential's distribution function, sums of buckets are accumulated over a source's buckets (at most BUCKETS rows), and
-rows are accumulated within their bucket only.
-
-Defined results: null text has no words and is taken 0 times or more without counting; null source is a source, last in
-order; a source without words has target 0; repeated rows count each; an empty table gives an empty table; weights that
+The running sum is made in two levels, so that no task holds a source: keys fall into ranges of a STEPS-th of an octave,
+sums of ranges are accumulated over a source's ranges, and rows are accumulated within their range only. A weight moves a
+document's key by octaves and leaves its distribution over them, so whatever the weights are, a range has at most
+ln 2 / e / STEPS of a source's documents (0.03 %) in expectation, and a source has at most 110 * STEPS ranges.
+
+Defined results: null text has no words and is taken 0 times or more without counting; whole texts are counted however
+long; null source is a source, last in order; a source without words has target 0; repeated rows count each; rows with
+equal keys are taken by id, then size; an empty table gives an empty table; weights that
 are null, not finite or below MIN_WEIGHT count as MIN_WEIGHT; other columns stay.
 """
 
@@ -19,10 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words
+from .common import materialize, n_words
 
-#: Ranges of keys in a source.
-BUCKETS = 4096
+#: Ranges of keys in an octave.
+STEPS = 1024
 MIN_WEIGHT = 0.05
 #: Weights of sources in code-point order, repeating; share of all words to take; most copies of a document.
 CYCLE, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
@@ -54,10 +56,11 @@ def targets(sizes: DataFrame) -> DataFrame:
     return x.select("_null", "_source", "source_size", "target")
 
 
-def mix(docs: DataFrame, weight: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, weight: Column | None = None, keep_text: bool = True) -> DataFrame:
     """docs with size, source_size, target, copies (how often the mix takes the document) and taken (words).
 
-    Columns of docs with these names are replaced.
+    Columns of docs with these names are replaced. Without keep_text the result has no text, which is then read once: what
+    is known of the documents goes to the shared folder.
     """
     docs = docs.drop("size", "source_size", "target", "copies", "taken", "_key", "_bucket", "_source", "_null", "_upto", "_base", "_words")
     text = F.col("text").cast("string")
@@ -67,14 +70,13 @@ def mix(docs: DataFrame, weight: Column | None = None) -> DataFrame:
     u = (F.pmod(F.xxhash64(F.lit("mix"), "doc_id", crc), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
     source = F.col("source").cast("string")
     keyed = docs.select("*", source.isNull().alias("_null"), F.coalesce(source, F.lit("")).alias("_source"), n_words(text).alias("size"), (-F.log(u) / w).alias("_key"))
-    return spread(keyed)
+    return spread(keyed if keep_text else materialize(keyed.drop("text"), "mix-keys"))
 
 
 def spread(keyed: DataFrame) -> DataFrame:
     """The mix of rows that have _null, _source, size and _key; see mix."""
     own = [c for c in keyed.columns if c not in ("_null", "_source", "_key")]
-    bucket = F.least(F.floor((1 - F.exp(-F.col("_key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
-    rows = keyed.withColumn("_bucket", bucket)
+    rows = keyed.withColumn("_bucket", F.floor(F.log2("_key") * STEPS).cast("int"))
     sums = rows.groupBy("_null", "_source", "_bucket").agg(F.sum("size").alias("_words"))
     goal = targets(sums.groupBy("_null", "_source").agg(F.sum("_words").alias("source_size")))
     up = Window.partitionBy("_null", "_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -36,7 +36,7 @@ def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to their sources' target weights."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
