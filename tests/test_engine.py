@@ -14,7 +14,7 @@ from weirgate import publish, retail
 from weirgate.context import Layout, Run, component
 from weirgate.entities import ENTITIES
 from weirgate.functions import expressions as X
-from weirgate.functions.canonical import encode
+from weirgate.functions.canonical import decimal_text, encode
 from weirgate.operators import checks, merge, snapshot
 from weirgate.pipeline import ancestors, run_pipeline
 from weirgate.plans import serving
@@ -226,16 +226,21 @@ def test_gates(spark, tmp_path):
     for report in (failed, passed):  # the second has no audit row yet
         with pytest.raises(publish.Refused):
             promote(report)
-    registry.record_validation(passed)
-    with pytest.raises(publish.Refused):
-        promote(passed, tests_passed=False)
+    # A passed report publishes nothing without data tests, or with failed ones, however often it is tried.
+    for tests in (None, ["fact_order.order_id unique"]):
+        registry.record_validation(passed, failed_tests=tests)
+        assert registry.validations()[run.run_id]["status"] == "failed"
+        for _ in range(2):
+            with pytest.raises(publish.Refused):
+                promote(passed)
+    registry.record_validation(passed, failed_tests=[])
     with pytest.raises(Exception):
         promote(passed, {"t": str(tmp_path / "t"), "u": str(tmp_path / "missing")})
     assert registry.manifest() == {} and registry.publications() == {}
     assert promote(passed) == "published" and promote(passed) == "unchanged"
     assert publish.views(spark, registry)["t"].count() == 2 and registry.status(spark).first().status == "passed"
     older = a_run(2)
-    registry.record_validation(Report(older.run_id, 2, passed.checks))
+    registry.record_validation(Report(older.run_id, 2, passed.checks), failed_tests=[])
     with pytest.raises(publish.Refused):
         promote(Report(older.run_id, 2, passed.checks), r=older)
     silent = publish.Discarded(str(tmp_path / "other"))
@@ -243,6 +248,38 @@ def test_gates(spark, tmp_path):
     assert silent.validations() == {}
 
 
+def test_declared_tests_are_all_there_and_find_faults(spark):
+    from weirgate.operators.declared import DECLARED, violations
+
+    by_group = {g: sum(len(t.split()) for n, cs in DECLARED.items() if n.startswith(g) for t in cs.values()) for g in ("silver", "stg", "orders_e", "order_items_e", "validation", "dim", "fact")}
+    assert by_group["silver"] == 22 and by_group["stg"] == 30 and by_group["orders_e"] + by_group["order_items_e"] + by_group["validation"] == 20 and by_group["dim"] + by_group["fact"] == 46
+    child = spark.createDataFrame([(1, "a", -1), (1, None, 0), (9, "z", 5)], "id int, s string, n int")
+    found = violations("child", {"child": child, "parent": spark.createDataFrame([(1,)], "k int")}, {"id": "unique to:parent.k", "s": "filled in:a,b", "n": "not_negative positive", "id,n": "unique"})
+    assert dict(found.collect()) == {"child.id unique": 1, "child.id to:parent.k": 1, "child.s filled": 1, "child.s in:a,b": 1, "child.n not_negative": 1, "child.n positive": 2, "child.id,n unique": 0}
+
+
+def test_values_at_their_own_scale(spark):
+    rows = [(Decimal("0.123456789012"), Decimal(10**37)), (Decimal("0.123456789011"), Decimal(-5)), (Decimal("-0.000000000000"), Decimal(0))]
+    df = spark.createDataFrame(rows, "a decimal(20,12), b decimal(38,0)")
+    got = [tuple(r) for r in df.select(decimal_text(F.col("a")), decimal_text(F.col("b"))).collect()]
+    assert got == [("0.123456789012", str(10**37)), ("0.123456789011", "-5"), ("0", "0")]
+    values = [10**47 + 7, -(10**47) - 7, 2**151, -(2**159), -1, 2**119, -(2**120)]
+    coded = [(base64.b64encode(v.to_bytes(n, "big", signed=True)).decode(), 2) for v in values for n in (20, 33)]
+    out = spark.createDataFrame(coded, "t string, s long").select(parse.decoded_decimal(F.col("t"), F.col("s")).alias("x")).collect()
+    shown = lambda v: f"{'-' * (v < 0)}{abs(v) // 100}.{abs(v) % 100:02}"
+    assert [r.x for r in out] == [shown(v) for v in values for _ in range(2)]
+    with pytest.raises(Exception):
+        spark.createDataFrame([("no time",)], "t string").select(X.instant(F.col("t"))).collect()
+
+
+def test_exact_checksums_are_bounded(spark, monkeypatch):
+    from weirgate.reconcile import service
+
+    monkeypatch.setattr(service, "EXACT_ROWS", 2)
+    source = lambda e: sales(spark, [(i, "g", i) for i in range(3)])
+    assert [c.name for c in validate(a_run(), source, source, None, [SALES], "exact").failures][-1] == "query_error"
+
+
 def test_data_tests_find_faults(spark):
     df = spark.createDataFrame([(1, "a", -1), (1, None, 0), (2, "z", 5)], "id int, s string, n int")
     assert checks.is_null(df, "s").count() == 1 and checks.repeats(df, ("id",)).count() == 1

@@ -46,8 +46,8 @@ def nfc(text: Column) -> Column:
 
 
 def decimal_text(value: Column) -> Column:
-    """Plain digits without trailing zeros; zero is 0."""
-    plain = value.cast("decimal(38,10)").cast("string")
+    """Plain digits without trailing zeros, at the value's own scale; zero is 0."""
+    plain = value.cast("string")  # in ANSI mode without exponents
     cut = F.regexp_replace(F.regexp_replace(plain, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
     return F.when(cut.isin("-0", ""), F.lit("0")).otherwise(cut)
 

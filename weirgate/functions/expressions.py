@@ -23,8 +23,8 @@ def lowered(text: Column) -> Column:
 
 
 def instant(text: Column) -> Column:
-    """A point in time from ISO text; null where it is none."""
-    return text.try_cast("timestamp")
+    """A point in time from ISO text; other text is an error, which ends the load."""
+    return text.cast("timestamp")
 
 
 def date_key(day: Column) -> Column:

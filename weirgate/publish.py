@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from pathlib import Path
@@ -41,11 +41,14 @@ class Registry:
         draft.write_text(json.dumps(content, indent=1, sort_keys=True))
         os.replace(draft, path)
 
-    def record_validation(self, report: Report, path: str = "") -> None:
-        """Put the run's verdict in, in place of an earlier one of the same run."""
+    def record_validation(self, report: Report, path: str = "", failed_tests: Sequence[str] | None = None) -> None:
+        """Put the run's verdict in, in place of an earlier one of the same run.
+
+        It is passed only where the report is and data tests ran without a failure; None says that they did not run.
+        """
         rows = self._read("validations")
         failed = len(report.failures)
-        rows[report.run_id] = {"batch_id": report.batch_id, "status": "passed" if report.passed else "failed", "validated_at": report.made_at, "checks_passed": len(report.checks) - failed, "checks_failed": failed, "report": str(path)}
+        rows[report.run_id] = {"batch_id": report.batch_id, "status": "passed" if report.passed and failed_tests is not None and not failed_tests else "failed", "failed_tests": None if failed_tests is None else list(failed_tests), "validated_at": report.made_at, "checks_passed": len(report.checks) - failed, "checks_failed": failed, "report": str(path)}
         self._write("validations", rows)
 
     def validations(self) -> dict:
@@ -72,18 +75,20 @@ class Discarded(Registry):
         return None
 
 
-def promote(spark: SparkSession, registry: Registry, run: Run, report: Report, tables: Mapping[str, str], batch_column: str = "pipeline_batch_id", tests_passed: bool = True) -> str:
+def promote(spark: SparkSession, registry: Registry, run: Run, report: Report, tables: Mapping[str, str], batch_column: str = "pipeline_batch_id") -> str:
     """Publish a run's tables (view name to path); gives published, or unchanged if this run already is.
 
-    Gates, in order: the report is this run's and passed, and so did the data tests; the audit says so too; no newer batch
+    Gates, in order: the report is this run's and passed; the audit says so too, and that data tests passed; no newer batch
     is published; the run was not published as another batch. Then every table must resolve. The run is pending until the
     manifest is replaced, so a crash leaves readers with the last publication, and a retry goes on.
     """
-    if not report.passed or not tests_passed or (report.run_id, report.batch_id) != (run.run_id, run.batch_id):
+    if not report.passed or (report.run_id, report.batch_id) != (run.run_id, run.batch_id):
         raise Refused("the report is not a passed one of this run")
     audit = registry.validations().get(run.run_id)
     if not audit or audit["status"] != "passed" or audit["batch_id"] != run.batch_id:
         raise Refused("no passed validation of this run on record")
+    if audit.get("failed_tests") != []:
+        raise Refused("no passed data tests of this run on record")
     done = registry.publications()
     newest = max((p["batch_id"] for p in done.values() if p["state"] == "published"), default=0)
     if newest > run.batch_id:

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from . import conform
 from .conform import table
-from .entities import ENTITIES
+from .entities import ENTITIES, Entity
 from .functions import expressions as X
 from .functions.canonical import canonical, decimal_text
-from .operators import checks, merge, snapshot
+from .operators import batches, checks, merge, snapshot
 from .plans import marts, serving, staging
 from .reconcile import measures
 from .reconcile.rules import RETAIL, Aggregate, Rule
@@ -403,6 +403,7 @@ def source_timestamp_cutoff(spark, d):
 # --- reconciliation ----------------------------------------------------------------------------------
 
 _RULES = {r.entity: r for r in RETAIL}
+USER = Entity("users", {"user_id": "integer"}, ("user_id",), ("user_id",))
 PAIR = Rule("order_items", {"order_id": "integer", "line_number": "integer", "product_id": "integer", "quantity": "integer", "unit_price": "decimal"}, ("order_id", "line_number"), {"product": ("product_id",)})
 
 
@@ -422,8 +423,7 @@ def sides(text: str) -> str:
 
 @query(sides("SELECT 'order_items' AS entity, (SELECT count(*) FROM source) AS expected, (SELECT count(*) FROM candidate) AS actual, (SELECT count(*) FROM source) = (SELECT count(*) FROM candidate) AS passed"))
 def rc_row_count(spark, d):
-    source, candidate = (x.agg(F.count(F.lit(1)).alias(n)) for x, n in zip(both_sides(spark, d), ("expected", "actual")))
-    return source.crossJoin(candidate).select(F.lit("order_items").alias("entity"), "expected", "actual", (F.col("expected") == F.col("actual")).alias("passed"))
+    return measures.row_counts(*both_sides(spark, d), PAIR)
 
 
 _GROUPED = "SELECT coalesce(e.g, a.g) AS \"group\", e.v AS expected, a.v AS actual FROM ({}) e FULL JOIN ({}) a ON e.g = a.g WHERE e.v IS DISTINCT FROM a.v"
@@ -554,7 +554,7 @@ def cdc_tx_order(spark, d):
     return found.select(F.col("offset").cast("int").alias("id"), "transaction_order")
 
 
-_DECIMALS = [("B8s=", 2, "19.95"), ("AA==", 2, "0.00"), ("/w==", 2, "-0.01"), ("gA==", 0, "-128"), ("AIA=", 1, "12.8"), ("19.95", 2, None), ("////", 3, "-0.001"), ("", 2, None)]
+_DECIMALS = [("AQAAAAAAAAAAAAAAAAAAAAAAAAA=", 3, f"{2**152 // 1000}.{2**152 % 1000:03}"), ("gAAAAAAAAAAAAAAAAAAAAA==", 0, str(-(2**127))), ("B8s=", 2, "19.95"), ("AA==", 2, "0.00"), ("/w==", 2, "-0.01"), ("gA==", 0, "-128"), ("AIA=", 1, "12.8"), ("19.95", 2, None), ("////", 3, "-0.001"), ("", 2, None)]
 
 
 @query("SELECT CAST(id AS INTEGER) AS id, value FROM (VALUES " + ", ".join(f"({i}, {_text(v)})" for i, (*_, v) in enumerate(_DECIMALS)) + ") AS t(id, value)")
@@ -574,18 +574,18 @@ def cdc_typed_row(spark, d):
 def cdc_key_json(spark, d):
     e = table(spark, d, "events")
     made = parse.parsed(F.concat(F.lit('{ "user_id" : '), F.col("user_id").cast("string"), F.lit(" }")))
-    return e.select(F.col("event_id").alias("source_lsn"), F.to_json(made).alias("key_json"))
+    return e.select(F.col("event_id").alias("source_lsn"), parse.key_json(USER, made).alias("key_json"))
 
 
 @query("SELECT event_id, CAST(ts AS DATE) AS event_date FROM events")
 def cdc_event_date(spark, d):
     e = table(spark, d, "events")
-    return e.select("event_id", F.to_date(F.timestamp_millis(F.unix_millis(F.col("ts").cast("timestamp")))).alias("event_date"))
+    return e.select("event_id", parse.event_day(F.unix_millis(F.col("ts").cast("timestamp")), F.lit(None).cast("timestamp")).alias("event_date"))
 
 
 @query(sql("SELECT DISTINCT event_date FROM changes", "changes"))
 def distinct_event_dates(spark, d):
-    return conform.changes(spark, d).select("event_date").distinct()
+    return batches.event_days(conform.changes(spark, d))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
@@ -595,18 +595,14 @@ def props_json_extract(spark, d):
 
 @query(sql("SELECT batch_id, count(*) AS mutations FROM (SELECT batch_id FROM silver_customers UNION ALL SELECT batch_id FROM silver_products UNION ALL SELECT batch_id FROM silver_orders UNION ALL SELECT batch_id FROM silver_order_items) m GROUP BY 1", *(f"silver_{e}" for e in ENTITIES)))
 def batch_mutation_counts(spark, d):
-    parts = [make(spark, d).select("batch_id") for make in conform.SILVER.values()]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    return every.groupBy("batch_id").agg(F.count(F.lit(1)).alias("mutations"))
+    return batches.mutation_counts(make(spark, d) for make in conform.SILVER.values())
 
 
 @query(sql("SELECT batch_id, md5(string_agg(v, '|' ORDER BY v)) AS checksum FROM (SELECT batch_id, 'product:' || product_id || ':' || sku || ':' || CAST(unit_price AS VARCHAR) || ':' || batch_id AS v FROM silver_products) x GROUP BY 1", "silver_products"))
 def batch_source_checksum(spark, d):
     p = conform.products(spark, d)
-    v = F.concat_ws(":", F.lit("product"), "product_id", "sku", F.col("unit_price").cast("string"), "batch_id")
-    return p.groupBy("batch_id").agg(F.md5(F.array_join(F.array_sort(F.collect_list(v)), "|")).alias("checksum"))
+    record = batches.record_text("product", F.col("product_id"), F.col("sku"), F.col("unit_price"), F.col("batch_id"))
+    return batches.checksums(p.select("batch_id", record.alias("record")))
 
 
 # --- stored tables and streams ---------------------------------------------------------------------------

@@ -6,11 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.canonical import canonical, encode, framed, require
 from .rules import Aggregate, Rule
 
 ALL = "__all__"
+#: Most rows of a table whose exact checksums are taken.
+EXACT_ROWS = 1_000_000
 
 
 def display_key(df: DataFrame, rule: Rule, columns: Sequence[str]) -> Column:
@@ -25,12 +28,19 @@ def grouped_counts(df: DataFrame, rule: Rule, columns: Sequence[str]) -> DataFra
     return df.groupBy(display_key(df, rule, columns).alias("group")).agg(F.count(F.lit(1)).cast("string").alias("value"))
 
 
+def row_counts(source: DataFrame, target: DataFrame, rule: Rule) -> DataFrame:
+    """One row: entity, expected, actual, passed."""
+    n, m = (df.agg(F.count(F.lit(1)).alias(name)) for df, name in ((source, "expected"), (target, "actual")))
+    return n.crossJoin(m).select(F.lit(rule.entity).alias("entity"), "expected", "actual", (F.col("expected") == F.col("actual")).alias("passed"))
+
+
 def aggregate(df: DataFrame, rule: Rule, spec: Aggregate) -> DataFrame:
     """(group, value) with the canonical aggregate of each group; nulls are left out, and no rows give no groups."""
     kind = rule.columns[spec.column]
     c = df[spec.column]
     if spec.operation == "sum":
-        kind, made = "decimal", F.sum(c.cast("decimal(38,10)"))
+        exact = c if isinstance(df.schema[spec.column].dataType, T.DecimalType) else c.cast("decimal(38,0)" if kind == "integer" else "decimal(38,10)")
+        kind, made = "decimal", F.sum(exact)  # at the column's own scale
     else:
         made = F.min(c) if spec.operation == "min" else F.max(c)
     sums = df.groupBy(display_key(df, rule, spec.by).alias("group")).agg(made.alias("v"))
@@ -40,7 +50,8 @@ def aggregate(df: DataFrame, rule: Rule, spec: Aggregate) -> DataFrame:
 def exact_checksums(df: DataFrame, rule: Rule, columns: Sequence[str] | None = None) -> DataFrame:
     """One row: for each column the SHA-256 of the framed canonical keys and values in key order.
 
-    All rows of a column meet in one array, so this is for tables that fit in one; larger ones use sums.
+    All rows of a column meet in one array, so compare() takes this for tables of at most EXACT_ROWS rows; larger ones use
+    sums.
     """
     names = list(columns or rule.columns)
     coded = encode(df, dict(rule.columns))

@@ -82,7 +82,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def decoded_decimal(text: Column, scale: Column) -> Column:
-    """Plain decimal text of a base64 big-endian two's-complement number; null if it is none."""
+    """Plain decimal text of a base64 big-endian two's-complement number of any length; null if it is none."""
     base64 = r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
     wide = lambda x: x.cast("decimal(38,0)")
 
@@ -93,13 +93,34 @@ def decoded_decimal(text: Column, scale: Column) -> Column:
         first = byte(F.lit(1)).cast("int")
         start = wide(F.when(first >= 128, first - 256).otherwise(first))
         rest = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
-        return F.when(n.between(1, 15), F.aggregate(rest, start, lambda acc, i: wide(acc * 256 + wide(byte(i)))))
+        x = F.aggregate(rest, start, lambda acc, i: wide(acc * 256 + wide(byte(i))))
+        short = let(x, lambda v: F.struct((v < 0).alias("below"), F.abs(v).cast("string").alias("digits")))
+        return F.when(n.between(1, 15), short).when(n > 15, F.struct((first >= 128).alias("below"), long_digits(digits, n, first >= 128).alias("digits")))
+
+    def long_digits(digits: Column, n: Column, below: Column) -> Column:
+        """Digits of the magnitude, in limbs of nine digits, the lowest first; a negative number's bytes are inverted, and one added."""
+
+        def push(limbs: Column, times: int, plus: Column) -> Column:
+            zero = F.struct(plus.cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+
+            def add(acc: Column, limb: Column) -> Column:
+                v = limb * times + acc["carry"]
+                return F.struct(F.floor(v / 1_000_000_000).cast("bigint").alias("carry"), F.concat(acc["out"], F.array(v % 1_000_000_000)).alias("out"))
+
+            return F.aggregate(limbs, zero, add, lambda acc: F.when(acc["carry"] > 0, F.concat(acc["out"], F.array(acc["carry"]))).otherwise(acc["out"]))
+
+        byte = lambda i: F.conv(F.substring(digits, i * 2 - 1, F.lit(2)), 16, 10).cast("bigint")
+        own = lambda i: F.when(below, F.lit(255) - byte(i)).otherwise(byte(i))
+        limbs = F.aggregate(F.sequence(F.lit(1), n), F.array(F.lit(0).cast("bigint")), lambda acc, i: push(acc, 256, own(i)))
+        limbs = push(limbs, 1, F.when(below, 1).otherwise(0))
+        texts = F.transform(F.reverse(limbs), lambda x, i: F.when(i == 0, x.cast("string")).otherwise(F.lpad(x.cast("string"), 9, "0")))
+        return F.regexp_replace(F.array_join(texts, ""), "^0+(?=.)", "")
 
     def shown(v: Column) -> Column:
         x, s = v["x"], v["s"]
         point = lambda p: F.concat(F.substring(p, F.lit(1), F.length(p) - s), F.when(s > 0, F.concat(F.lit("."), F.substring(p, F.length(p) - s + 1, s))).otherwise(F.lit("")))
-        padded = let(F.abs(x).cast("string"), lambda p: F.when(F.length(p) <= s, F.lpad(p, s + 1, "0")).otherwise(p))
-        return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), let(padded, point))
+        padded = let(x["digits"], lambda p: F.when(F.length(p) <= s, F.lpad(p, s + 1, "0")).otherwise(p))
+        return F.concat(F.when(x["below"], F.lit("-")).otherwise(F.lit("")), let(padded, point))
 
     raw = let(text, lambda t: F.when(t.rlike(base64) & (F.length(t) > 0), F.hex(F.try_to_binary(t, F.lit("base64")))))
     return let(F.struct(let(raw, number).alias("x"), scale.cast("int").alias("s")), shown)
@@ -137,15 +158,18 @@ def field_ok(entity: Entity, field: str, value: Column, text: Column) -> Column:
     return F.coalesce(kinds[entity.fields[field]], F.lit(False))
 
 
-def row_valid(entity: Entity, image: Column, decimals: Column) -> Column:
-    """Every required field is there, and every known field that is not null has its kind."""
-    tests = []
+def row_faults(entity: Entity, image: Column, decimals: Column) -> Column:
+    """What is wrong with a row, as text: required fields that are missing, known fields that have another kind; empty if none."""
+    missing, others = [], []
     for field, kind_ in entity.fields.items():
         value = at(image, field)
         empty = value.isNull() | (kind(value) == "VOID")
         ok = field_ok(entity, field, value, decimals[field] if kind_ == "decimal" else text_of(value))
-        tests.append((~empty & ok) if field in entity.required else (empty | ok))
-    return reduce(lambda a, b: a & b, tests)
+        if field in entity.required:
+            missing.append(F.when(empty, F.lit(field)))
+        others.append(F.when(~empty & ~ok, F.lit(f"{field} is no {kind_}")))
+    listed = F.concat_ws(", ", *missing)
+    return F.concat_ws("; ", F.when(listed != "", F.concat(F.lit("missing: "), listed)), *others)
 
 
 def key_json(entity: Entity, holder: Column) -> Column:
@@ -182,6 +206,11 @@ def row_json(entity: Entity, image: Column, decimals: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *out), F.lit("}"))
 
 
+def event_day(milliseconds: Column, received: Column, arrived: Column | None = None) -> Column:
+    """The day of the event's own time, else of its record's, else of the run's."""
+    return F.coalesce(F.to_date(F.timestamp_millis(milliseconds)), F.to_date(received), F.to_date(arrived if arrived is not None else F.lit("1970-01-01").cast("timestamp")))
+
+
 def classified(records: DataFrame, arrived: Column | None = None) -> DataFrame:
     """Every record with its reason code (null for events and tombstones) and the columns of events.
 
@@ -203,7 +232,7 @@ def classified(records: DataFrame, arrived: Column | None = None) -> DataFrame:
     r = r.withColumn("_decimals", F.when(F.col("_op") == "d", F.col("_before_decimals")).otherwise(F.col("_after_decimals")))
     r = r.withColumns(
         {
-            "_valid": by_entity(F.col("entity"), lambda e: row_valid(e, row, F.col("_decimals"))),
+            "_fault": by_entity(F.col("entity"), lambda e: row_faults(e, row, F.col("_decimals"))),
             "_row_key": by_entity(F.col("entity"), lambda e: key_json(e, row)),
             "_message_key": by_entity(F.col("entity"), lambda e: key_json(e, F.col("_keydoc"))),
             "source_lsn": natural(at(F.col("_source"), "lsn")),
@@ -220,14 +249,14 @@ def classified(records: DataFrame, arrived: Column | None = None) -> DataFrame:
         .when(F.col("_op").isNull(), "unsupported_operation")
         .when(row.isNull() | F.col("_source").isNull(), "invalid_envelope")
         .when(F.col("source_lsn").isNull(), "missing_source_lsn")
-        .when(~F.coalesce(F.col("_valid"), F.lit(False)) | F.col("_row_key").isNull(), "invalid_schema")
+        .when((F.coalesce(F.col("_fault"), F.lit("?")) != "") | F.col("_row_key").isNull(), "invalid_schema")
         .when(F.col("_message_key").isNull(), "missing_key")
         .when(F.col("_message_key") != F.col("_row_key"), "invalid_schema")
         .when(F.col("batch_id").isNull(), "missing_batch_id")
     )
     order = F.coalesce(F.nullif(natural(at(F.col("_tx"), "data_collection_order")), F.lit(0)), F.nullif(natural(at(F.col("_tx"), "total_order")), F.lit(0)), F.lit(0)).cast("bigint")
     ts = F.coalesce(natural(at(F.col("_source"), "ts_ms")), natural(at(env, "ts_ms")))
-    day = F.coalesce(F.to_date(F.timestamp_millis(ts)), F.to_date(F.col("timestamp")), F.to_date(arrived if arrived is not None else F.lit("1970-01-01").cast("timestamp")))
+    day = event_day(ts, F.col("timestamp"), arrived)
 
     def image_json(name: str) -> Column:
         return F.when(F.col(f"_{name}").isNotNull(), by_entity(F.col("entity"), lambda e: row_json(e, F.col(f"_{name}"), F.col(f"_{name}_decimals"))))
@@ -249,7 +278,7 @@ def classified(records: DataFrame, arrived: Column | None = None) -> DataFrame:
     )
     r = r.withColumn("row_json", F.when(F.col("_op") == "d", F.col("before_json")).otherwise(F.col("after_json")))
     # One row from one row: a filter on the reason is not copied into every step above, which would repeat all of them.
-    done = r.select(F.explode(F.array(F.struct("reason_code", *EVENT_COLUMNS))).alias("r"))
+    done = r.select(F.explode(F.array(F.struct("reason_code", F.col("_fault").alias("fault"), *EVENT_COLUMNS))).alias("r"))
     return done.select("r.*")
 
 
@@ -260,4 +289,6 @@ def events(parsed_records: DataFrame) -> DataFrame:
 
 def dead_letters(parsed_records: DataFrame) -> DataFrame:
     """The rest: why, where it was, and what it said."""
-    return parsed_records.where("reason_code is not null").select("reason_code", F.concat(F.lit("record breaks the rule "), F.col("reason_code")).alias("detail"), "entity", "topic", "partition", "offset", "kafka_timestamp", "raw_payload", "event_date")
+    fault = F.when(F.col("reason_code") == "invalid_schema", F.coalesce(F.nullif(F.col("fault"), F.lit("")), F.lit("the key is not the row's")))
+    detail = F.concat(F.lit("record breaks the rule "), F.col("reason_code"), F.coalesce(F.concat(F.lit(": "), fault), F.lit("")))
+    return parsed_records.where("reason_code is not null").select("reason_code", detail.alias("detail"), "entity", "topic", "partition", "offset", "kafka_timestamp", "raw_payload", "event_date")
