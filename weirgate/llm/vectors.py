@@ -75,6 +75,23 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
+def _packed(x: np.ndarray) -> list[bytes]:
+    """Each row's components, in four bytes each where that keeps them all, else in eight."""
+    with np.errstate(all="ignore"):
+        short = x.astype(np.float32)
+    whole = (short == x).all(1)
+    return [(short if ok else x)[i].tobytes() for i, ok in enumerate(whole)]
+
+
+def _unpacked(rows: list[bytes], dim: int) -> np.ndarray:
+    out = np.empty((len(rows), dim))
+    for size, kind in ((4, np.float32), (8, np.float64)):
+        own = [i for i, r in enumerate(rows) if len(r) == size * dim]
+        if own:
+            out[own] = np.frombuffer(b"".join(rows[i] for i in own), kind).reshape(len(own), dim)
+    return out
+
+
 def _norms(x: np.ndarray) -> np.ndarray:
     with np.errstate(all="ignore"):
         n = np.sqrt((x * x).sum(1))
@@ -96,7 +113,7 @@ def _homes(leaders, turn, threshold: float):
         room = margin(dim, threshold)
         for batch in batches:
             x = _matrix(batch.column(1), dim)
-            x = x / np.abs(x).max(1, keepdims=True)  # so that no square overflows
+            x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])  # so that no square overflows; exact
             norm = _norms(x)
             ok = np.flatnonzero(np.isfinite(norm))
             if not len(ok):
@@ -108,8 +125,9 @@ def _homes(leaders, turn, threshold: float):
             rows, where = np.nonzero(near >= near.max(1, keepdims=True) - room)
             home = where == best[rows]
             ids, times = (batch.column(i).to_numpy() for i in (0, 2))
+            packed = _packed(x)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(where.astype(np.int32)), pa.array(home), pa.array(ids[ok][rows]), pa.array(times[ok][rows]), pa.array([codes[r].tobytes() for r in rows], pa.binary()), pa.array(factor[rows]), pa.array([x[ok[r]].tobytes() for r in rows], pa.binary())],
+                [pa.array(where.astype(np.int32)), pa.array(home), pa.array(ids[ok][rows]), pa.array(times[ok][rows]), pa.array([codes[r].tobytes() for r in rows], pa.binary()), pa.array(factor[rows]), pa.array([packed[ok[r]] for r in rows], pa.binary())],
                 ["leader", "home", "id", "times", "code", "factor", "vector"],
             )
 
@@ -124,7 +142,7 @@ def _block(turn, threshold: float):
         table = table.combine_chunks()
         home = table.column("left").to_numpy() == 1
         ids, times, factor = (table.column(c).to_numpy() for c in ("id", "times", "factor"))
-        x = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.float64).reshape(len(ids), -1)
+        x = _unpacked(table.column("vector").to_pylist(), matrix.shape[0])
         codes = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)
         unit = x / _norms(x)[:, None]
         h, v = np.flatnonzero(home), np.flatnonzero(~home)
