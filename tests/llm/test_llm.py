@@ -212,6 +212,28 @@ def test_vectors_of_several_lengths(spark):
     assert got == exact | {i: (0, i) for i, _ in odd}
 
 
+def test_vectors_travel_whole():
+    r = np.random.default_rng(4)
+    x = np.vstack([r.standard_normal((5, 7)).astype(np.float32).astype(float), r.standard_normal((5, 7)), [[1e-300, 1, 0, 0, 0, 0, 0]]])
+    packed = vectors._packed(x)
+    assert [len(p) for p in packed] == [28] * 5 + [56] * 6 and (vectors._unpacked(packed, 7) == x).all()
+
+
+@pytest.mark.parametrize("dim", [16, 64])
+def test_vectors_among_many_leaders(spark, monkeypatch, dim):
+    """Recall of at least 0.9 where leaders, not blocks, decide which pairs are met: links near the threshold, 12 leaders or more."""
+    monkeypatch.setattr(vectors, "PER_LEADER", 100)
+    r = np.random.default_rng(dim)
+    base = r.standard_normal((900, dim))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    turned = [base + s / np.sqrt(dim) * r.standard_normal(base.shape) for s in (0.2, 0.3)]
+    x = np.vstack([base, *turned]).astype(np.float32).astype(float)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.95).sum(1) - 1
+    got = {g.vec_id: g.n_links for g in vectors.dedup(spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    assert links.sum() > 900 and all(got[i] <= links[i] for i in got) and sum(got.values()) >= 0.9 * links.sum()
+
+
 def test_codes_estimate_without_bias():
     r = np.random.default_rng(2)
     x = r.standard_normal((300, 64))

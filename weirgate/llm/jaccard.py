@@ -43,6 +43,8 @@ REPEATS = 2
 SHARD_TOKENS = 1_000_000
 #: Members of a tile that one task compares with as many others.
 BLOCK = 512
+#: Members of blocks, with their bitmaps, in a task of the second round.
+SHARD_ROWS = 1 << 16
 #: Pairs of a block that are looked at together.
 PAIRS = 1 << 18
 #: Bits of a signature.
@@ -451,7 +453,10 @@ def link_components(docs: DataFrame, k: int = 5, threshold: str = "0.8") -> Data
     rows = materialize(rows, "jaccard-rows")
     members_of = F.sum(F.xxhash64("doc").cast("decimal(38,0)"))
     open_ = rows.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("m"), members_of.alias("sig")).where("lo < hi")
-    open_ = open_.groupBy("m", "sig").agg(F.min("token").alias("token")).select("token", "m")
+    open_ = materialize(open_.groupBy("m", "sig").agg(F.min("token").alias("token")).select("token", "m"), "jaccard-open")
+    # About SHARD_ROWS rows with their bitmaps to a task, however many there are.
+    copies = open_.agg(F.coalesce(F.sum(F.col("m") * F.ceil(F.col("m") / BLOCK)), F.lit(0))).first()[0]
+    parts = max(least, int(copies // SHARD_ROWS) + 1)
     rest = rows.join(open_, "token")
     # Tiles of up to BLOCK members are one block; larger ones are dealt over blocks by a hash of the member.
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
@@ -459,7 +464,7 @@ def link_components(docs: DataFrame, k: int = 5, threshold: str = "0.8") -> Data
     paired = rest.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     paired = paired.select("token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "doc", "n", "class", F.when(F.col("own") <= F.col("other"), 1).otherwise(0).alias("left"))
     paired = paired.join(signed.select("doc", "bits"), "doc")
-    paired = paired.select("token", "x", "y", "doc", "n", "class", "left", "bits").repartition(least, "token", "x", "y").sortWithinPartitions("token", "x", "y")
+    paired = paired.select("token", "x", "y", "doc", "n", "class", "left", "bits").repartition(parts, "token", "x", "y").sortWithinPartitions("token", "x", "y")
     second = paired.mapInArrow(_tiles(t), "a long, b long").distinct()
     second_links = checked(second, True)
     everything = materialize(links.union(second_links.select("a", "b")), "jaccard-all")
