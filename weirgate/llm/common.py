@@ -31,11 +31,23 @@ def shared_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+#: Whether Spark deletes a statement's shuffle files when the statement has ended.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back, which cuts its lineage."""
+    """Write df as Parquet to the shared folder and read it back, which cuts its lineage.
+
+    Nothing reads the write's shuffle files afterwards, so they go with its end; until then lost ones are made again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(RELEASE)
+    spark.conf.set(RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(RELEASE, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
