@@ -26,6 +26,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -170,9 +171,14 @@ class Trie:
 # --- blocks ------------------------------------------------------------------------------------
 
 
+def _split(x: np.ndarray, size: int) -> np.ndarray:
+    """Little-endian integers of so many bytes: a row of all first bytes, one of all second bytes, and so on."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T)
+
+
 def _planes(x: np.ndarray, size: int) -> bytes:
     """Little-endian integers of so many bytes, all first bytes first: small ones compress to little."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
+    return _split(x, size).tobytes()
 
 
 def _from_planes(data, size: int) -> np.ndarray:
@@ -369,29 +375,50 @@ def _wide(order: int):
     return run
 
 
-ASKED = ("nodes", "heavy", "counts1", "kids2", "symbols2", "counts2", "kids3", "symbols3", "counts3")
+#: Of a block and shard: nodes, second and third symbols, and compressed numbers (split contexts, counts and kids by level).
+ASKED = ("nodes", "symbols2", "symbols3", "numbers")
+#: Rows for shards that go to the JVM at once.
+SENT = 64
 
 
 def _ask(bits: int, shared, order: int):
     """One row for each block and shard: the block's nodes, successors and theirs that belong there, with training counts."""
 
+    def rows(block: Block):
+        shard = (block.nodes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(block.nodes), np.int64)
+        x = np.searchsorted(shard, np.arange((1 << bits) + 1))
+        y = np.r_[0, np.cumsum(block.kids2)][x]
+        z = np.r_[0, np.cumsum(block.kids3)][y]
+        two, three = _split(block.symbols2, SYMBOL_BITS[0] // 8), _split(block.symbols3, SYMBOL_BITS[1] // 8)
+        numbers = [[_split(v, 4) for v in level] for level in ((block.node_heavy + 1, block.node_counts, block.kids2), (block.counts2, block.kids3), (block.counts3,))]
+        for j in np.flatnonzero(np.diff(x)):
+            own = [slice(at[j], at[j + 1]) for at in (x, y, z)]
+            listed = b"".join(v[:, part].tobytes() for level, part in zip(numbers, own) for v in level)
+            yield int(j), block.nodes[own[0]].tobytes(), two[:, own[1]].tobytes(), three[:, own[2]].tobytes(), _zip(listed)
+
     def run(batches):
         heavy = shared.value
         for batch in batches:
             for key, *own in zip(batch.column("block").to_pylist(), *(batch.column(c) for c in ("held", "sizes", "words", "at"))):
-                block = _read(*own, heavy, order).arrange()
-                shard = (block.nodes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(block.nodes), np.int64)
-                x = np.searchsorted(shard, np.arange((1 << bits) + 1))
-                y = np.r_[0, np.cumsum(block.kids2)][x]
-                z = np.r_[0, np.cumsum(block.kids3)][y]
-                for j in np.flatnonzero(np.diff(x)):
-                    a, b, c = (slice(at[j], at[j + 1]) for at in (x, y, z))
-                    values = (block.nodes[a].tobytes(), _planes(block.node_heavy[a] + 1, 4), _planes(block.node_counts[a], 4), _planes(block.kids2[a], 4), _planes(block.symbols2[b], SYMBOL_BITS[0] // 8), _planes(block.counts2[b], 4), _planes(block.kids3[b], 4), _planes(block.symbols3[c], SYMBOL_BITS[1] // 8), _planes(block.counts3[c], 4))
-                    yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([int(j)], pa.int32()), *(pa.array([v], pa.binary()) for v in values)], ["block", "shard", *ASKED])
+                found = rows(_read(*own, heavy, order).arrange())
+                while some := list(islice(found, SENT)):
+                    shards, *values = zip(*some)
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(some), pa.int64()), pa.array(shards, pa.int32()), *(pa.array(v, pa.binary()) for v in values)], ["block", "shard", *ASKED])
+                del found, some  # before the next block is laid out
 
     return run
 
 
+def _asked(block: int, nodes, symbols2, symbols3, numbers) -> tuple:
+    """(block, nodes, split contexts, counts, kids, symbols, counts, kids, symbols, counts) of a row of _ask."""
+    nodes = np.frombuffer(nodes.as_buffer(), np.uint64)
+    two, three = _from_planes(symbols2.as_buffer(), SYMBOL_BITS[0] // 8), _from_planes(symbols3.as_buffer(), SYMBOL_BITS[1] // 8)
+    sizes = 4 * np.array([len(nodes)] * 3 + [len(two)] * 2 + [len(three)])
+    listed = _unzip(numbers.as_buffer())
+    heavy, counts, kids2, counts2, kids3, counts3 = (_from_planes(listed.slice(int(at), int(n)), 4) for at, n in zip(np.cumsum(sizes) - sizes, sizes))
+    return block, nodes, heavy, counts, kids2, two, counts2, kids3, three, counts3
+
+
 # --- shards ------------------------------------------------------------------------------------
 
 ANSWERS = ("block", "place", "counts", "weights2", "pairs", "weights3", "triples", "total", "different", "context", "model")
@@ -412,9 +439,7 @@ def _answer(keep: bool):
     def run(table: pa.Table) -> pa.Table:
         rows = []
         for batch in table.to_batches():
-            for block, *own in zip(batch.column("block").to_pylist(), *(batch.column(c) for c in ASKED)):
-                sizes = (None, 4, 4, 4, SYMBOL_BITS[0] // 8, 4, 4, SYMBOL_BITS[1] // 8, 4)
-                rows.append((block, np.frombuffer(own[0].as_buffer(), np.uint64), *(_from_planes(x.as_buffer(), s) for x, s in zip(own[1:], sizes[1:]))))
+            rows += [_asked(*row) for row in zip(batch.column("block").to_pylist(), *(batch.column(c) for c in ASKED))]
         words, node, counts = _summed([r[1] for r in rows], [r[3] for r in rows])
         which = np.full(len(words), -1)
         for r, at in zip(rows, node):
