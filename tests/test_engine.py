@@ -406,3 +406,21 @@ def test_pipeline_end_to_end_and_corruption(spark, tmp_path):
     again = run_pipeline(spark, layout, Run("second", 3, *retail.interval(3)), registry, wrong.__getitem__, archive=layout.root)
     assert [(c.entity, c.name) for c in again.report.failures] == [("customers", "checksum:email")] and again.published is None
     assert registry.manifest()["run_id"] == out.run.run_id
+
+
+def test_batches_happen_once(monkeypatch):
+    src = retail.source(2)
+    before = {e: dict(rows) for e, rows in src.rows.items()}, list(src.log)
+    assert not retail.apply(src, 2) and (src.rows, src.log) == before
+    drop = src.drop
+
+    def fail(*key):
+        drop(*key)
+        raise RuntimeError("lost connection")
+
+    monkeypatch.setattr(src, "drop", fail)
+    with pytest.raises(RuntimeError):
+        retail.apply(src, 3)
+    assert (src.rows, src.log) == before and src.completed == {1, 2}
+    monkeypatch.undo()
+    assert retail.apply(src, 3) and src.log == retail.source(3).log
